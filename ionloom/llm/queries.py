@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from ionloom.llm.packing import op3_packing
+from ionloom.llm.token_counts import op8_token_counts
 from ionloom.llm.toxicity import op9_toxicity
 
 QUERIES = {
+    "op3_packing": op3_packing,
+    "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
 }
 
