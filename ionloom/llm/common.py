@@ -7,6 +7,7 @@ import uuid
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 #: Characters that separate words in the word-based contracts.
@@ -57,6 +58,19 @@ def sample_rows(df: DataFrame, key: str, most: int) -> DataFrame:
     return df.orderBy(h, F.col(key)).limit(most)
 
 
+def sample_ids(rows: DataFrame, kind: str, most: int) -> DataFrame:
+    """doc_id and ``kind`` of at most ``most`` rows of every kind, chosen by a hash of doc_id, as a small written table.
+
+    The kinds are few (classes or languages), so the table has a proven bound and can be broadcast.
+    """
+    h = F.xxhash64(F.col("doc_id").cast("string"))
+    rows = rows.select("doc_id", kind).dropDuplicates(["doc_id"])
+    share = rows.groupBy(kind).agg((F.lit(1.2 * most) / F.count(F.lit(1))).alias("share"))
+    near = rows.join(F.broadcast(share), kind).where(F.pmod(h, F.lit(1 << 20)) <= F.col("share") * (1 << 20))
+    first = F.row_number().over(Window.partitionBy(kind).orderBy(h, "doc_id"))
+    return written(near.withColumn("first", first).where(F.col("first") <= most).select("doc_id", kind), "sample")
+
+
 def ids_and_texts(batch: pa.RecordBatch, text: str = "text") -> tuple[pa.Array, list[str]]:
     """The batch's doc_id array and its texts, null texts as empty ones."""
     return batch.column("doc_id"), [t or "" for t in batch.column(text).to_pylist()]
