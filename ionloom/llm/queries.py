@@ -5,6 +5,7 @@ from __future__ import annotations
 from ionloom.llm.language_id import op1_language_id
 from ionloom.llm.packing import op3_packing
 from ionloom.llm.quality import op5_quality
+from ionloom.llm.quality_rules import op7_quality_rules
 from ionloom.llm.token_counts import op8_token_counts
 from ionloom.llm.toxicity import op9_toxicity
 
@@ -12,6 +13,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
+    "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
 }
