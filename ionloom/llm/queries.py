@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from ionloom.llm import chat_format
+from ionloom.llm.chat_format import op6_chat_format
 from ionloom.llm.language_id import op1_language_id
 from ionloom.llm.packing import op3_packing
 from ionloom.llm.quality import op5_quality
@@ -13,9 +15,12 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
+    "op6_chat_format": op6_chat_format,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat_format": chat_format.ORACLE,
+}
