@@ -8,6 +8,7 @@ from ionloom.llm.language_id import op1_language_id
 from ionloom.llm.packing import op3_packing
 from ionloom.llm.quality import op5_quality
 from ionloom.llm.quality_rules import op7_quality_rules
+from ionloom.llm.suffix_dedup import op10_suffix_dedup
 from ionloom.llm.token_counts import op8_token_counts
 from ionloom.llm.toxicity import op9_toxicity
 
@@ -19,6 +20,7 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {
