@@ -5,6 +5,7 @@ from __future__ import annotations
 from ionloom.llm import chat_format
 from ionloom.llm.chat_format import op6_chat_format
 from ionloom.llm.language_id import op1_language_id
+from ionloom.llm.ngram_join import op2_ngram_join
 from ionloom.llm.packing import op3_packing
 from ionloom.llm.quality import op5_quality
 from ionloom.llm.quality_rules import op7_quality_rules
@@ -14,6 +15,7 @@ from ionloom.llm.toxicity import op9_toxicity
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_ngram_join": op2_ngram_join,
     "op3_packing": op3_packing,
     "op5_quality": op5_quality,
     "op6_chat_format": op6_chat_format,
