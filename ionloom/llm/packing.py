@@ -203,6 +203,10 @@ def pack(docs: DataFrame, params: PackingParams = PackingParams(), ranks_path: s
     return docs.mapInArrow(_pack_batches(params, path), PIECES)
 
 
+def with_crc(pieces: DataFrame) -> DataFrame:
+    """The pieces with the CRC-32 of their ids in place of the ids."""
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = pack(table(spark, sf_dir, "documents"))
-    return got.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "window", "step_group")
+    return with_crc(pack(table(spark, sf_dir, "documents")))

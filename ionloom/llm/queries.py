@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from ionloom.llm import chat_format
 from ionloom.llm.chat_format import op6_chat_format
+from ionloom.llm.decontaminate import op4_decontamination
 from ionloom.llm.language_id import op1_language_id
 from ionloom.llm.ngram_join import op2_ngram_join
 from ionloom.llm.packing import op3_packing
@@ -17,6 +18,7 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_ngram_join": op2_ngram_join,
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_quality": op5_quality,
     "op6_chat_format": op6_chat_format,
     "op7_quality_rules": op7_quality_rules,
