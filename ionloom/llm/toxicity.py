@@ -6,8 +6,9 @@ the toxic dictionary in front of it.  Since both share the ordinary part, the le
 helps, so the saved bytes are the window's compression distance.  Mean, largest savings and the share of saving windows
 go through a logistic curve that is calibrated on training rows; ``threshold`` turns the score into a verdict.
 
-Toxic segments: words of toxic training windows with a five-byte gram that occurs in many distinct toxic windows and far
-more often than in ordinary ones.  Counting distinct windows keeps copies of one text from lifting its own words.
+Toxic segments: words of toxic training windows with a five-byte gram that occurs in many toxic documents and in a far
+smaller share of ordinary ones.  A window that several documents have counts for one of them only, which keeps copies of a
+text from lifting its own words.
 
 Bounds: the model is fitted on at most ``max_docs`` labelled documents and ``max_windows`` windows a class
 (``ToxicityParams``).  Scoring covers every byte of every text, one Arrow batch at a time, without a shuffle.
@@ -29,7 +30,7 @@ import zstandard as zs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import fold, ids_and_texts, sample_rows, table
+from ionloom.llm.common import fold, ids_and_texts, sample_ids, table, written
 
 
 @dataclass(frozen=True)
@@ -41,7 +42,7 @@ class ToxicityParams:
     max_docs: int = 4000
     max_windows: int = 150_000
     gram: int = 5
-    min_windows: int = 18
+    min_docs: int = 18
     ratio: float = 40.0
     threshold: float = 0.7
 
@@ -114,28 +115,33 @@ FEATURES = "doc_id long, f0 double, f1 double, f2 double, f3 double"
 def _window_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for t in ids_and_texts(batch)[1]:
+            for doc, t in zip(*ids_and_texts(batch), strict=True):
                 if ws := windows(t, size):
-                    yield pa.RecordBatch.from_arrays([pa.array(ws, pa.binary())], ["w"])
+                    yield pa.RecordBatch.from_arrays([pa.array(ws, pa.binary()), pa.array([doc.as_py()] * len(ws), pa.int64())], ["w", "doc"])
 
     return run
 
 
-def toxic_segments(toxic: list[bytes], ordinary: list[bytes], p: ToxicityParams) -> list[bytes]:
+def toxic_segments(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, int]], p: ToxicityParams) -> list[bytes]:
+    """Words with a marked gram; grams are counted once a document, over (window, document) pairs without repeated windows."""
+
     def grams(w: bytes) -> set[bytes]:
         return {w[i : i + p.gram] for i in range(len(w) - p.gram + 1)}
 
-    toxic, ordinary = sorted(set(toxic)), sorted(set(ordinary))
-    t, o = Counter(), Counter()
-    for w in toxic:
-        t.update(grams(w))
-    for w in ordinary:
-        o.update(grams(w))
-    nt, no = max(1, len(toxic)), max(1, len(ordinary))
-    least = max(2, min(p.min_windows, nt // 50))
+    def counted(pairs: list[tuple[bytes, int]]) -> tuple[Counter, int]:
+        by: dict[int, set[bytes]] = {}
+        for w, doc in pairs:
+            by.setdefault(doc, set()).update(grams(w))
+        c = Counter()
+        for g in by.values():
+            c.update(g)
+        return c, max(1, len(by))
+
+    (t, nt), (o, no) = counted(toxic), counted(ordinary)
+    least = max(2, min(p.min_docs, nt // 30))
     marks = {g for g, k in t.items() if k >= least and k / nt >= p.ratio * (o[g] + 0.5) / no}
     out = []
-    for w in toxic:
+    for w, _ in sorted(toxic):
         out += [s for x in w.split() if grams(s := b" " + x) & marks]
     return out
 
@@ -147,6 +153,11 @@ def _train(size: int, samples: list[bytes]) -> bytes:
         return b"".join(dict.fromkeys(samples))[-size:]
 
 
+def _dictionaries(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, int]], p: ToxicityParams) -> ToxicityModel:
+    segments = toxic_segments(toxic, ordinary, p) or [w for w, _ in toxic]
+    return ToxicityModel(_train(p.ordinary_dict, [w for w, _ in ordinary]), _train(p.toxic_dict, segments), (), p)
+
+
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> np.ndarray:
     """Newton steps for a small ridge logistic regression; the last weight is the constant."""
     a = np.c_[x, np.ones(len(x))]
@@ -163,30 +174,32 @@ def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2
 
 def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityParams()) -> ToxicityModel | None:
     """Learn from labelled rows outside the held-out fold; None without both classes."""
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull() & ~fold(F.col("doc_id"), 3, 1))
     known = labels.where("toxic is not null and doc_id is not null").select("doc_id", F.col("toxic").cast("int").alias("y")).dropDuplicates(["doc_id"])
-    rows = rows.join(known, "doc_id")
-    by = {y: sample_rows(rows.where(F.col("y") == y), "doc_id", params.max_docs).persist() for y in (0, 1)}
-    try:
-        found = {}
-        for y, part in by.items():
-            cut = part.select("doc_id", "text").mapInArrow(_window_rows(params.window), "w binary").distinct()
-            found[y] = [bytes(r.w) for r in cut.orderBy(F.xxhash64("w"), "w").limit(params.max_windows).collect()]
-        if not found[0] or not found[1]:
-            return None
-        segments = toxic_segments(found[1], found[0], params) or found[1]
-        model = ToxicityModel(_train(params.ordinary_dict, found[0]), _train(params.toxic_dict, segments), (), params)
-        rows = by[0].unionAll(by[1])
-        got = rows.select("doc_id", "text").mapInArrow(_features_batches(model), FEATURES).join(rows.select("doc_id", "y").dropDuplicates(["doc_id"]), "doc_id").toPandas()
-        n0, n1 = (rows0 := known.groupBy("y").count().toPandas().set_index("y")["count"]).get(0, 1), rows0.get(1, 1)
-        x, y = got[["f0", "f1", "f2", "f3"]].to_numpy(float), got["y"].to_numpy(float)
-        w = logistic(x, y)
-        # the sample is even between the classes; the constant moves to their shares among all labelled rows
-        w[-1] += np.log(n1 / n0) - np.log(max(1, y.sum()) / max(1, (1 - y).sum()))
-        return ToxicityModel(model.ordinary, model.toxic, tuple(map(float, w)), params)
-    finally:
-        for part in by.values():
-            part.unpersist()
+    known = known.where(~fold(F.col("doc_id"), 3, 1))
+    shares = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    if len(shares) < 2:
+        return None
+    sample = F.broadcast(sample_ids(known, "y", params.max_docs))
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(sample, "doc_id")
+    # dictionaries from three fifths of the sample, the curve from the rest, whose texts they haven't seen
+    rows = written(rows.withColumn("curve", F.pmod(F.xxhash64("doc_id"), F.lit(5)) >= 3), "toxicity-sample")
+    found = {}
+    for y in (0, 1):
+        cut = rows.where((F.col("y") == y) & ~F.col("curve")).select("doc_id", "text").mapInArrow(_window_rows(params.window), "w binary, doc long").groupBy("w").agg(F.min("doc").alias("doc"))
+        found[y] = [(bytes(r.w), r.doc) for r in cut.orderBy(F.xxhash64("w"), "w").limit(params.max_windows).collect()]
+    if not found[0] or not found[1]:
+        return None
+    model = _dictionaries(found[1], found[0], params)
+    got = rows.where("curve").select("doc_id", "text").mapInArrow(_features_batches(model), FEATURES).join(sample, "doc_id").orderBy("doc_id", "f3").toPandas()
+    if got["y"].nunique() < 2:
+        return None
+    x, y = got[["f0", "f1", "f2", "f3"]].to_numpy(float), got["y"].to_numpy(float)
+    mean, scale = x.mean(0), x.std(0) + 1e-6
+    w = logistic((x - mean) / scale, y)
+    w = np.r_[w[:-1] / scale, w[-1] - (w[:-1] * mean / scale).sum()]
+    # the sample is even between the classes; the constant moves to their shares among all labelled rows
+    w[-1] += np.log(shares[1] / shares[0]) - np.log(max(1, y.sum()) / max(1, (1 - y).sum()))
+    return ToxicityModel(model.ordinary, model.toxic, tuple(map(float, w)), params)
 
 
 def score(docs: DataFrame, model: ToxicityModel | None, threshold: float | None = None) -> DataFrame:
