@@ -312,7 +312,9 @@ def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFra
     spans = spans.groupBy("tid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     cut = live.select("tid", "key", "z").join(spans, "tid").select("key", "z", "spans").mapInArrow(_cut_rows(p), CUT)
     whole = (F.col("copies") >= 2) & (F.col("n_bytes") >= p.length)
-    return classes.select("key", "copies", "n_bytes").join(cut.drop("n_bytes"), "key", "left").select(
+    # classes of several rows are repeated as a whole or too short, so their cuts, one for each repeated row, aren't needed
+    cut = cut.drop("n_bytes").withColumnRenamed("key", "k")
+    return classes.join(cut, (F.col("key") == F.col("k")) & (F.col("copies") == 1), "left").select(
         "key", "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0).cast("long"))).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("n_spans", F.lit(0).cast("long"))).alias("n_spans"),
