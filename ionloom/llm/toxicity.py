@@ -23,6 +23,8 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +42,7 @@ class ToxicityParams:
     toxic_dict: int = 2048
     level: int = 7
     max_docs: int = 4000
-    max_windows: int = 150_000
+    max_windows: int = 100_000
     gram: int = 5
     min_docs: int = 18
     ratio: float = 40.0
@@ -129,13 +131,11 @@ def toxic_segments(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, i
         return {w[i : i + p.gram] for i in range(len(w) - p.gram + 1)}
 
     def counted(pairs: list[tuple[bytes, int]]) -> tuple[Counter, int]:
-        by: dict[int, set[bytes]] = {}
-        for w, doc in pairs:
-            by.setdefault(doc, set()).update(grams(w))
-        c = Counter()
-        for g in by.values():
-            c.update(g)
-        return c, max(1, len(by))
+        c, n = Counter(), 0
+        for _, part in groupby(sorted(pairs, key=itemgetter(1)), itemgetter(1)):  # one document's grams at a time
+            c.update(set().union(*(grams(w) for w, _ in part)))
+            n += 1
+        return c, max(1, n)
 
     (t, nt), (o, no) = counted(toxic), counted(ordinary)
     least = max(2, min(p.min_docs, nt // 30))
