@@ -14,8 +14,12 @@ Every byte that lies in a string of ``length`` bytes which also starts anywhere
 4. Runs of repeated windows become byte spans, are merged in each text and cut out.
 
 Scale: texts move compressed; a text without a repeated anchor leaves after step 2.  Grams that are frequent in a sample of
-the texts are known to be repeated, so they skip the search for partners, and their suffixes are dealt by offset blocks, since only windows of
-equal offset compare.  Classes are counted with partial sums.  A bucket holds the suffixes of one gram (or offset block) at a time.
+the texts (``Hot``) are known to be repeated, so they skip the search for partners.  Their suffixes are cut into blocks of
+``offset_block`` offsets and dealt by the core, the bytes that all windows of the block share; where a core is frequent too,
+they are cut into single windows and dealt by the window, and windows that the sample holds twice are repeated for sure and
+don't travel at all.  So a passage in a third of all texts fills no bucket.  The lists of frequent strings are bounded, the most
+frequent first: a string that found no place in a list of m holds less than one row in m.  Classes are counted with
+partial sums.
 
 Edge cases: null text is empty; texts under ``length`` bytes lose nothing; repeated rows (also with equal or null doc_id) are
 copies of each other; texts of any length are read in pieces of ``piece`` positions; extra columns are ignored by
@@ -30,6 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard as zs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -46,9 +51,19 @@ class SuffixParams:
     sample: int = 64
     hot: int = 16
     most_hot: int = 10_000
+    most_windows: int = 100_000
     offset_block: int = 9
 
 
+@dataclass(frozen=True)
+class Hot:
+    """Frequent grams, frequent cores, and windows seen twice or more; cores and windows by their 128-bit digests."""
+
+    grams: frozenset
+    cores: frozenset
+    windows: frozenset
+
+
 def _mix(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -127,8 +142,65 @@ def _anchor_rows(p: SuffixParams):
     return run
 
 
-def _suffix_rows(p: SuffixParams, hot: frozenset):
-    """The bytes around each anchor, with its leading 8 bytes as a number; hot grams once for each offset block."""
+def _blocks(a: int, lo: int, hi: int, p: SuffixParams) -> Iterator[tuple[int, int, int, int]]:
+    """Blocks of an anchor's offsets: least and largest offset, and the place of the core, which every window of the block holds."""
+    for s in range(lo - lo % p.offset_block, hi + 1, p.offset_block):
+        e = s + p.offset_block - 1
+        yield max(lo, s), min(hi, e), a - s, a - e + p.length
+
+
+def _dealt(b: bytes, a: int, lo: int, hi: int, p: SuffixParams, hot: Hot) -> Iterator[tuple[bytes, int, int]]:
+    """For an anchor with a frequent gram: the string to deal by, least and largest offset."""
+    for low, high, first, last in _blocks(a, lo, hi, p):
+        name = xxhash.xxh3_128_digest(b[first:last])
+        if name not in hot.cores:
+            yield name, low, high
+        else:
+            for o in range(low, high + 1):
+                yield xxhash.xxh3_128_digest(b[a - o : a - o + p.length]), o, o
+
+
+def _frequent_rows(p: SuffixParams, grams: frozenset):
+    """Digests of the cores and windows at anchors with a frequent gram."""
+    names = np.array(sorted(grams), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d, digest = zs.ZstdDecompressor(), xxhash.xxh3_128_digest
+        for batch in batches:
+            for z in batch.column("z").to_pylist():
+                b = d.decompress(z)
+                for g, *where in text_anchors(np.frombuffer(b, np.uint8), p):
+                    hot = np.isin(g.view(np.int64), names)
+                    places = list(zip(*(x[hot].tolist() for x in where), strict=True))
+                    cores = [digest(b[first:last]) for a, lo, hi in places for _, _, first, last in _blocks(a, lo, hi, p)]
+                    windows = [digest(b[a - o : a - o + p.length]) for a, lo, hi in places for o in range(lo, hi + 1)]
+                    yield pa.RecordBatch.from_arrays([pa.array(cores + windows, pa.binary()), pa.array([True] * len(cores) + [False] * len(windows), pa.bool_())], ["name", "core"])
+
+    return run
+
+
+def _sure_spans(p: SuffixParams, hot: Hot):
+    """Spans of the windows that the sample holds twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        d = zs.ZstdDecompressor()
+        for batch in batches:
+            for t, z, gs, xs in zip(*(batch.column(c).to_pylist() for c in ("tid", "z", "gs", "xs")), strict=True):
+                if hot.grams.isdisjoint(gs):
+                    continue
+                b = d.decompress(z)
+                found = sorted((x >> 16) - o for g, x in zip(gs, xs, strict=True) if g in hot.grams for name, o, _ in _dealt(b, x >> 16, x >> 8 & 0xFF, x & 0xFF, p, hot) if name in hot.windows)
+                if found:
+                    at = np.array(found, np.int64)
+                    cuts = np.flatnonzero(np.diff(at) > 1)
+                    start, stop = at[np.r_[0, cuts + 1]], at[np.r_[cuts, len(at) - 1]] + p.length
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(start), t, np.int64)), pa.array(start), pa.array(stop)], ["tid", "start", "stop"])
+
+    return run
+
+
+def _suffix_rows(p: SuffixParams, hot: Hot):
+    """The bytes around each anchor, with its leading 8 bytes as a number; frequent grams as ``_dealt`` cuts them."""
     w = p.length - p.gram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -139,14 +211,14 @@ def _suffix_rows(p: SuffixParams, hot: frozenset):
                 rows = []
                 for g, x in zip(gs, xs, strict=True):
                     a, lo, hi = x >> 16, x >> 8 & 0xFF, x & 0xFF
-                    cuts = [(lo, hi)] if g not in hot else [(max(lo, s), min(hi, s + p.offset_block - 1)) for s in range(lo - lo % p.offset_block, hi + 1, p.offset_block)]
                     lead = int.from_bytes(b[a : a + 8], "big") - (1 << 63)
-                    for lo, hi in cuts:
-                        block = lo // p.offset_block if g in hot else -1
-                        rows.append((lead, g, block, t, a << 16 | lo << 8 | hi, b[a - hi : a], b[a : a - lo + p.length]))
+                    for name, lo, hi in _dealt(b, a, lo, hi, p, hot) if g in hot.grams else [(None, lo, hi)]:
+                        if name not in hot.windows:
+                            block = int.from_bytes(name[:8], "big", signed=True) if name else 0
+                            rows.append((lead, g, block, t, a << 16 | lo << 8 | hi, b[a - hi : a], b[a : a - lo + p.length]))
                 for i in range(0, len(rows), 20_000):
                     part = rows[i : i + 20_000]
-                    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+                    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], SUFFIX_NAMES)
 
     assert w < 256, "offsets are kept in 8 bits"
@@ -154,7 +226,7 @@ def _suffix_rows(p: SuffixParams, hot: frozenset):
 
 
 SUFFIX_NAMES = ["lead", "g", "block", "tid", "x", "before", "after"]
-SUFFIXES = "lead long, g long, block int, tid long, x long, before binary, after binary"
+SUFFIXES = "lead long, g long, block long, tid long, x long, before binary, after binary"
 
 
 def multikey_order(rows: np.ndarray) -> np.ndarray:
@@ -218,7 +290,7 @@ def _spans(tid: np.ndarray, x: np.ndarray, found: np.ndarray, p: SuffixParams) -
 
 
 def _bucket(p: SuffixParams):
-    """Rows come sorted by lead, g and block; whole groups are taken together."""
+    """Rows come sorted by lead, g and block; whole groups (of g and block) are taken together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -281,6 +353,19 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn("text", F.coalesce(F.col("text"), F.lit(""))).withColumn("key", F.unhex(F.md5("text")))
 
 
+def _hot(sample: DataFrame, p: SuffixParams) -> Hot:
+    """What is frequent in the sampled texts; three lists of bounded length."""
+    grams = sample.mapInArrow(_anchor_rows(p), "g long, tid long, x long").groupBy("g").count()
+    grams = frozenset(r.g for r in grams.where(F.col("count") >= p.hot).orderBy(F.desc("count"), "g").limit(p.most_hot).collect())
+    if not grams:
+        return Hot(grams, grams, grams)
+    found = sample.mapInArrow(_frequent_rows(p, grams), "name binary, core boolean").groupBy("core", "name").count()
+    found = written(found.where("count >= 2"), "suffix-frequent").orderBy(F.desc("count"), "name")
+    cores = found.where(F.col("core") & (F.col("count") >= p.hot)).limit(p.most_hot).collect()
+    windows = found.where(~F.col("core")).limit(p.most_windows).collect()
+    return Hot(grams, frozenset(bytes(r.name) for r in cores), frozenset(bytes(r.name) for r in windows))
+
+
 def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFrame:
     """One row a distinct text: key (its MD5), n_bytes, n_removed, n_spans, kept_sha256, and kept, the text that is left without
     partly cut characters (null if nothing was cut)."""
@@ -294,10 +379,8 @@ def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFra
     texts = written(ones.select("key", F.monotonically_increasing_id().alias("tid"), "z"), "suffix-texts")
 
     found = texts.select("tid", "z").mapInArrow(_anchor_rows(p), "g long, tid long, x long")
-    part = texts.where(F.pmod(F.xxhash64("key"), F.lit(p.sample)) == 0).select("tid", "z").mapInArrow(_anchor_rows(p), "g long, tid long, x long")
-    common = part.groupBy("g").count().where(F.col("count") >= p.hot).orderBy(F.desc("count"), "g").limit(p.most_hot).collect()
-    hot = spark.createDataFrame([(r.g,) for r in common], "g long")
-    known = F.broadcast(hot.withColumn("hot", F.lit(True)))  # most_hot rows at most
+    hot = _hot(texts.where(F.pmod(F.xxhash64("key"), F.lit(p.sample)) == 0).select("tid", "z"), p)
+    known = F.broadcast(spark.createDataFrame([(g, True) for g in sorted(hot.grams)], "g long, hot boolean"))  # most_hot rows at most
     found = found.join(known, "g", "left").select("g", "tid", "x", F.col("hot").isNotNull().alias("hot"))
     # a hot gram is repeated for sure; a salt keeps its rows apart
     salt = F.when(F.col("hot"), F.col("tid")).otherwise(F.lit(0).cast("long"))
@@ -305,10 +388,12 @@ def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFra
     per_text = pairs.groupBy("tid").agg(F.collect_list("g").alias("gs"), F.collect_list("x").alias("xs"))
     live = written(texts.join(per_text, "tid"), "suffix-live")
 
-    wide = live.select("tid", "z", "gs", "xs").mapInArrow(_suffix_rows(p, frozenset(r.g for r in common)), SUFFIXES)
+    wide = live.select("tid", "z", "gs", "xs").mapInArrow(_suffix_rows(p, hot), SUFFIXES)
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     sorted_rows = wide.repartitionByRange(n, "lead", "g", "block").sortWithinPartitions("lead", "g", "block")
     spans = sorted_rows.mapInArrow(_bucket(p), "tid long, start long, stop long")
+    if hot.windows:
+        spans = spans.unionAll(live.select("tid", "z", "gs", "xs").mapInArrow(_sure_spans(p, hot), "tid long, start long, stop long"))
     spans = spans.groupBy("tid").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
     cut = live.select("tid", "key", "z").join(spans, "tid").select("key", "z", "spans").mapInArrow(_cut_rows(p), CUT)
     whole = (F.col("copies") >= 2) & (F.col("n_bytes") >= p.length)

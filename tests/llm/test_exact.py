@@ -98,7 +98,7 @@ def brute_cut(rows, n):
     return sorted(out, key=str)
 
 
-@pytest.mark.parametrize("params", [suffix_dedup.SuffixParams(), suffix_dedup.SuffixParams(piece=150, bucket=50, sample=1, hot=2)])
+@pytest.mark.parametrize("params", [suffix_dedup.SuffixParams(), suffix_dedup.SuffixParams(piece=150, bucket=50, sample=1, hot=2), suffix_dedup.SuffixParams(bucket=50, sample=1, hot=2, most_hot=40, most_windows=7)])
 def test_cut_equals_brute_force(docs, rows, params):
     keyed = suffix_dedup._keyed(docs.select("doc_id", "text"))
     got = keyed.join(suffix_dedup.repeated_spans(docs, params).drop("kept"), "key").select("doc_id", "n_bytes", "n_removed", "n_spans", F.coalesce("kept_sha256", F.sha2("text", 256)).alias("sha"))
