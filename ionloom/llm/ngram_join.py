@@ -10,7 +10,7 @@ block's counts over all groups is the shuffle key.  There are spare blocks for t
 depends on the size.  Every link has a common key; texts that merely share passages have none as a rule.
 
 Search: within a key neighbours (by class number) are bounded, verified and contracted to components first.  In keys whose
-classes still lie in different components, the points (64 groups) are bulk-loaded into an R-tree.  A node keeps the
+classes still lie in different components, the points (64 groups or more, by the size of the sets) are bulk-loaded into an R-tree.  A node keeps the
 coordinate maxima, the least size and, if it is one, the component below it.  A search leaves out nodes whose summed
 minima fall short and nodes of its own component; the surviving pairs are verified on the exact sets.  So no link between
 components is lost, and a group of near copies costs about its size, not its square.
@@ -39,7 +39,11 @@ from pyspark.sql import functions as F
 from ionloom.llm.common import table, written
 from ionloom.llm.components import components
 
-GROUPS = 64
+#: A point has a power of two of groups between these, with a few shingles in each.
+LEAST_GROUPS, MOST_GROUPS, A_GROUP = 64, 2048, 8
+_COUNT = np.uint16
+#: Largest count of a group in a point.
+FULL = np.iinfo(_COUNT).max
 
 
 @dataclass(frozen=True)
@@ -117,7 +121,20 @@ def keys(s: np.ndarray, p: JoinParams) -> np.ndarray:
 
 
 def point(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS).astype(np.int32)
+    groups = min(MOST_GROUPS, max(LEAST_GROUPS, 1 << (-(-len(s) // A_GROUP) - 1).bit_length() if len(s) else 0))
+    return np.minimum(np.bincount((s & _U(groups - 1)).astype(np.int64), minlength=groups), FULL).astype(_COUNT)
+
+
+def folded(points: list[bytes]) -> np.ndarray:
+    """The points as rows of as many groups as the smallest has."""
+    groups = min(map(len, points), default=0) // 2
+    fold = lambda x: x if len(x) == groups else np.minimum(x.reshape(-1, groups).sum(0, dtype=np.int64), FULL).astype(_COUNT)
+    return np.stack([fold(np.frombuffer(x, _COUNT)) for x in points]) if points else np.zeros((0, LEAST_GROUPS), _COUNT)
+
+
+def may_link(minima: np.ndarray, n, m, p: JoinParams) -> np.ndarray:
+    """Whether summed minima reach what a link needs; sets so large that a count may be at its limit always may."""
+    return (minima.sum(1, dtype=np.int64) >= needed(n, m, p)) | (np.maximum(n, m) > FULL)
 
 
 def needed(a, b, p: JoinParams):
@@ -143,7 +160,7 @@ class RTree:
         at = np.arange(len(self.levels[-1][0]))
         for level in range(len(self.levels) - 1, -1, -1):
             hi, lo, c = self.levels[level]
-            ok = (c[at] != comp) & (np.minimum(hi[at], x).sum(1) >= needed(n, lo[at], self.p))
+            ok = (c[at] != comp) & may_link(np.minimum(hi[at], x), n, lo[at], self.p)
             at = at[ok]
             if level:
                 at = (at[:, None] * self.p.leaf + np.arange(self.p.leaf)).reshape(-1)
@@ -189,7 +206,7 @@ def _points(p: JoinParams):
         d = zs.ZstdDecompressor()
         for batch in batches:
             pts = [point(shingle_set(d.decompress(z), p.words)).tobytes() for z in batch.column("z").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("n"), pa.array(pts, pa.binary()), batch.column("z")], ["cid", "n", "p", "z"])
+            yield pa.RecordBatch.from_arrays([batch.column("cid"), batch.column("n"), pa.array(pts, pa.binary())], ["cid", "n", "p"])
 
     return run
 
@@ -199,8 +216,9 @@ def _bounded(p: JoinParams):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pa_, pb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.int32).reshape(-1, GROUPS) for c in ("pa", "pb"))
-            ok = np.minimum(pa_, pb).sum(1) >= needed(batch.column("na").to_numpy(), batch.column("nb").to_numpy(), p)
+            ends = (batch.column(c).to_pylist() for c in ("pa", "pb"))
+            minima = np.fromiter((np.minimum(*folded([x, y])).sum(dtype=np.int64) for x, y in zip(*ends, strict=True)), np.int64, len(batch))
+            ok = may_link(minima[:, None], batch.column("na").to_numpy(), batch.column("nb").to_numpy(), p)
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(ok))
 
     return run
@@ -216,11 +234,12 @@ def _verified(p: JoinParams):
     return run
 
 
-def _verify(pairs: DataFrame, points: DataFrame, p: JoinParams) -> DataFrame:
-    """The linked pairs among (a, b): first the bound on the points, then the exact sets."""
-    end = lambda x, *cols: points.select(F.col("cid").alias(x), *(F.col(c).alias(c + x) for c in cols))
-    near = pairs.join(end("a", "n", "p"), "a").join(end("b", "n", "p"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_bounded(p), "a long, b long")
-    return near.join(end("a", "z"), "a").join(end("b", "z"), "b").select("a", "b", "za", "zb").mapInArrow(_verified(p), "a long, b long")
+def _verify(pairs: DataFrame, points: DataFrame, texts: DataFrame, p: JoinParams) -> DataFrame:
+    """The linked pairs among (a, b): first the bound on the points, then the exact sets of what is left."""
+    end = lambda t, x, *cols: t.select(F.col("cid").alias(x), *(F.col(c).alias(c + x) for c in cols))
+    near = pairs.join(end(points, "a", "n", "p"), "a").join(end(points, "b", "n", "p"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_bounded(p), "a long, b long")
+    near = written(near, "join-near")  # its size is known to the joins that follow
+    return near.join(end(texts, "a", "z"), "a").join(end(texts, "b", "z"), "b").select("a", "b", "za", "zb").mapInArrow(_verified(p), "a long, b long")
 
 
 def _tree_pairs(p: JoinParams):
@@ -228,7 +247,7 @@ def _tree_pairs(p: JoinParams):
 
     def pairs(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
         cid, n, comp = (t.column(c).to_numpy() for c in ("cid", "n", "comp"))
-        pts = np.frombuffer(b"".join(t.column("p").to_pylist()), np.int32).reshape(-1, GROUPS)
+        pts = folded(t.column("p").to_pylist())
         tree = RTree(pts, n, comp, p)
         main = np.bincount(np.unique(comp, return_inverse=True)[1]).argmax() if len(comp) else 0
         names = np.unique(comp)
@@ -276,8 +295,8 @@ def jaccard_components(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFra
     near = written(near.where("before is not null or after is not null"), "join-keys")
     edges = written(near.where("before is not null and before != cid").select(F.col("before").alias("a"), F.col("cid").alias("b")).distinct(), "join-edges")
     active = edges.select(F.col("a").alias("cid")).union(edges.select("b")).distinct()
-    points = written(ones.select("cid", "n", "z").join(active, "cid").mapInArrow(_points(p), "cid long, n long, p binary, z binary"), "join-points")
-    links = written(_verify(edges, points, p), "join-links")
+    points = written(ones.select("cid", "n", "z").join(active, "cid").mapInArrow(_points(p), "cid long, n long, p binary"), "join-points")
+    links = written(_verify(edges, points, ones, p), "join-links")
     comps = written(components(links), "join-components")
 
     named = near.select("k", "cid").join(comps, F.col("cid") == F.col("node"), "left").select("k", "cid", F.coalesce("root", "cid").alias("comp"))
@@ -288,7 +307,7 @@ def jaccard_components(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFra
     spread = spread.join(points.select("cid", "n", "p"), "cid").select("k", "tile", "cid", "comp", "n", "p")
     spread = spread.repartition("k", "tile").sortWithinPartitions("k", "tile")
     more = spread.mapInArrow(_tree_pairs(p), "a long, b long").where("a != b").distinct().join(edges, ["a", "b"], "left_anti")
-    links = links.unionAll(_verify(written(more, "join-pairs"), points, p))
+    links = links.unionAll(_verify(written(more, "join-pairs"), points, ones, p))
     comps = components(written(links, "join-links"))
 
     named = ones.select("cid", "digest", "one").join(comps, F.col("cid") == F.col("node"), "left").select("digest", "one", F.coalesce("root", "cid").alias("comp"))
