@@ -1,14 +1,13 @@
 """The corpus pipeline: each stage is one operator of ``ionloom.llm``, written as Parquet and read again for the next.
 
 Stages take (spark, docs, sf_dir).  All but the last return the columns of ``documents``; the last returns packed pieces.
-Near duplicates are taken at five words and a similarity of 0.8.  Rows with the same doc_id count as one document in
-``near_duplicates``.  No stage is expressible in SQL; the tests compare each with a brute-force version.
+Near duplicates are taken at five words and a similarity of 0.8; exactly one row of a group stays, also where rows repeat or
+have no doc_id.  No stage is expressible in SQL; the tests compare each with a brute-force version.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ionloom.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
 from ionloom.llm.common import table, written
@@ -22,10 +21,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the least doc_id of each group of linked documents stays."""
-    found = ngram_join.jaccard_components(docs, NEAR)
-    keep = written(found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct(), "near-kept")
-    return docs.join(keep, docs.doc_id.eqNullSafe(keep.kept_id), "left_semi")
+    """One row of each group of linked rows stays, the one with the least doc_id."""
+    return ngram_join.drop_near_duplicates(docs, NEAR)
 
 
 def drop_repeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -179,8 +179,8 @@ def _digests(p: JoinParams):
             texts = _read(batch)
             sets = [shingle_set(t, p.words) for t in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([z.compress(t) for t in texts], pa.binary())],
-                ["doc_id", "n", "digest", "z"],
+                [batch.column("doc_id"), batch.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()), pa.array([z.compress(t) for t in texts], pa.binary())],
+                ["doc_id", "key", "n", "digest", "z"],
             )
 
     return run
@@ -279,11 +279,10 @@ def _tree_pairs(p: JoinParams):
     return run
 
 
-def jaccard_components(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
-    """doc_id, n_shingles, component_id for every row; component_id is the least doc_id that links reach."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    hashed = docs.mapInArrow(_digests(p), "doc_id long, n long, digest binary, z binary")
-    rows = written(hashed.select("doc_id", "n", "digest"), "join-rows")
+def _grouped(docs: DataFrame, p: JoinParams) -> DataFrame:
+    """doc_id, key, n, digest, comp and component_id for every row of ``docs`` (doc_id, text, key); comp is null without words."""
+    hashed = docs.mapInArrow(_digests(p), "doc_id long, key binary, n long, digest binary, z binary")
+    rows = written(hashed.select("doc_id", "key", "n", "digest"), "join-rows")
     classes = rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("one"))
     ones = hashed.join(classes.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & F.col("doc_id").eqNullSafe(F.col("one")))
     # repeated rows stay as classes of equal sets, which any common key links
@@ -312,10 +311,35 @@ def jaccard_components(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFra
 
     named = ones.select("cid", "digest", "one").join(comps, F.col("cid") == F.col("node"), "left").select("digest", "one", F.coalesce("root", "cid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("one").alias("component_id"))
-    named = written(named.join(least, "comp").select("digest", "component_id").dropDuplicates(["digest"]), "join-named")
-    out = rows.join(named, "digest", "left")
+    named = written(named.join(least, "comp").select("digest", "comp", "component_id").dropDuplicates(["digest"]), "join-named")
+    return rows.join(named, "digest", "left")
+
+
+def jaccard_components(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
+    """doc_id, n_shingles, component_id for every row; component_id is the least doc_id that links reach."""
+    out = _grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.lit(None).cast("binary").alias("key")), p)
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
+def drop_near_duplicates(docs: DataFrame, p: JoinParams = JoinParams()) -> DataFrame:
+    """One row of each group of linked rows, with all its columns: the one with the least (doc_id, text digest), nulls last.
+
+    Rows without words are linked to none and all stay.  Rows of equal doc_id and text share a key; where such a key is chosen,
+    the least of its rows over all columns stays, by an aggregate with partial minima.
+    """
+    # the digest of doc_id and text; the id has no colon
+    key = F.unhex(F.md5(F.concat(F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("")), F.lit(":"), F.coalesce(F.col("text"), F.lit(""))).cast("binary")))
+    rows = _grouped(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", key.alias("key")), p).select("doc_id", "key", "comp")
+    first = rows.where("comp is not null").groupBy("comp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("r"))
+    counts = rows.where("comp is not null").groupBy("key").agg(F.count(F.lit(1)).alias("copies"))
+    kept = written(first.select(F.col("r.key").alias("key")).join(counts, "key"), "near-kept")
+    alone = kept.where("copies = 1").select("key").unionAll(rows.where("comp is null").select("key").distinct())
+    alone, several = written(alone, "near-alone"), written(kept.where("copies > 1").select("key"), "near-several")
+    keyed = docs.withColumn("near_key__", key)
+    one = keyed.join(alone, F.col("near_key__") == alone.key, "left_semi").select(*docs.columns)
+    least = keyed.join(several, F.col("near_key__") == several.key, "left_semi").groupBy("near_key__").agg(F.min(F.struct(*docs.columns)).alias("r"))
+    return one.unionAll(least.select("r.*"))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"))
