@@ -7,6 +7,9 @@ fingerprint bits: two fingerprints within the radius agree on one block at least
 them.  Survivors of the Hamming test are verified by the exact weighted-shingle similarity: the sum of the smaller
 counts over the sum of the larger ones, at least 0.8.
 
+A text with fewer words than the item is one clipped window, the whole text.  There is one a text and item length, so it needs
+no fingerprint: an inverted index of the items' shingles counts what they share, and items that share enough are verified.
+
 With 0.8 a pair's signs differ with probability 0.152, 19.4 bits on average (deviation 4.1); a radius of 36 misses about one
 borderline pair in 50,000, and no copy.
 
@@ -113,6 +116,22 @@ class BlockIndex:
         return out
 
 
+class ShingleIndex:
+    """Items of one length by their distinct shingles."""
+
+    def __init__(self, own: list[np.ndarray]):
+        sets = [np.unique(s) for s in own]
+        keys, items = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        order = np.argsort(keys, kind="stable")
+        self.n, self.keys, self.items = len(sets), keys[order], items[order]
+
+    def search(self, s: np.ndarray, least: int) -> np.ndarray:
+        """Items that hold at least ``least`` of the shingles ``s``, repeated ones counted as often as they are in ``s``."""
+        first, last = np.searchsorted(self.keys, s, "left"), np.searchsorted(self.keys, s, "right")
+        found = [self.items[a:b] for a, b in zip(first, last, strict=True) if a < b]
+        return np.flatnonzero(np.bincount(np.concatenate(found), minlength=self.n) >= least) if found else np.zeros(0, np.int64)
+
+
 class Benchmark:
     """A block of items, grouped by their length in words."""
 
@@ -126,6 +145,7 @@ class Benchmark:
         for n, found in sorted(by.items()):
             prints = np.concatenate([fingerprints(signs(s).sum(0, keepdims=True)) for _, s in found])
             self.by_length[n] = ([i for i, _ in found], [s for _, s in found], BlockIndex(prints, p.radius))
+        self.clipped = {n: ShingleIndex(own) for n, (_, own, _) in self.by_length.items() if n > p.words}
         self.sizes = sorted({min(p.words, n) for n in by})
         self.known = {k: np.unique(np.concatenate([s for n, (_, ss, _) in self.by_length.items() if min(p.words, n) == k for s in ss])) for k in self.sizes}
         self.bitmap = {}
@@ -143,7 +163,7 @@ class Benchmark:
         return hit
 
     def matches(self, text: str) -> list[tuple[int, float, int, int]]:
-        """(item_id, similarity, first word, words) of the best window for every item that the text holds."""
+        """(item_id, similarity, first word, words) of the best window for every item that the text holds or is a part of."""
         h, p, out = word_hashes(text), self.p, []
         for k in self.sizes:
             s = shingles(h, k)
@@ -158,12 +178,27 @@ class Benchmark:
             for first, last in zip(spots[np.r_[0, breaks + 1]], spots[np.r_[breaks, len(spots) - 1]], strict=True):
                 lo, hi = max(0, int(first) - reach), min(len(s), int(last) + reach + 1)
                 out += self._region(s, before, lo, hi, k)
+            out += self._whole(s, int(before[-1]), k)
         best: dict[int, tuple[float, int, int]] = {}
         for item, sim, at, n in out:
             if item not in best or (-sim, at) < (-best[item][0], best[item][1]):
                 best[item] = (sim, at, n)
         return [(i, *v) for i, v in sorted(best.items(), key=lambda x: str(x[0]))]
 
+    def _whole(self, s: np.ndarray, hits: int, k: int) -> Iterator[tuple[int, float, int, int]]:
+        """Items with more shingles than the text."""
+        t = self.p.threshold
+        for n, index in self.clipped.items():
+            m = n - k + 1
+            least = int(np.ceil((m + len(s)) * t / (1 + t) - 1e-9))
+            if min(self.p.words, n) != k or len(s) >= m or hits < least:
+                continue
+            ids, own, _ = self.by_length[n]
+            for e in index.search(s, least):
+                sim = similarity(s, own[e])
+                if sim >= t:
+                    yield ids[e], sim, 0, len(s) + k - 1
+
     def _region(self, s: np.ndarray, before: np.ndarray, lo: int, hi: int, k: int, piece: int = 1 << 15) -> Iterator[tuple[int, float, int, int]]:
         for c in range(lo, hi, piece):
             reach = max(n for n in self.by_length if min(self.p.words, n) == k) - k + 1
