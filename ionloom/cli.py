@@ -84,7 +84,7 @@ def main(argv: list[str] | None = None) -> int:
         sinks.write_psms(found, a.out)
     elif a.command == "remote-run":
         step = lambda df: search(df, tables.read_library(spark, a.library), _params(a.params), a.max_dalton * constants.SCALE)
-        runner.run_stream(runner.watch_spectra(spark, a.spectra), step, lambda df, n: sinks.write_psms(df, a.out), a.out + ".checkpoint").awaitTermination()
+        runner.run_stream(runner.watch_spectra(spark, a.spectra), step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint").awaitTermination()
     elif a.command == "search-monitor":
         tables.run_listing(spark.read.parquet(a.out)).show(1000, False)
     return 0

@@ -10,10 +10,16 @@ from ionloom.functions.naming import fasta_entry
 METRICS = {"search_space_generation": ("time", "size", "len"), "identification": ("time", "len"), "scoring": ("time",)}
 
 
-def write_psms(psms: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """zstd Parquet by search and run; only the partitions at hand are replaced, so a repeated write changes nothing."""
+def write_psms(psms: DataFrame, path: str, mode: str = "overwrite", batch: int | None = None) -> None:
+    """zstd Parquet by search and run; only the partitions at hand are replaced, so a repeated write changes nothing.
+
+    A stream gives its ``batch`` number, a partition column below the run: a run's spectra may come in several batches, and a
+    repeated batch replaces its own rows only.
+    """
+    keys = ["uuid", "ms_run"] if batch is None else ["uuid", "ms_run", "batch"]
+    psms = psms if batch is None else psms.withColumn("batch", F.lit(batch).cast("long"))
     out = psms.repartition("uuid", "ms_run", F.pmod(F.xxhash64("spectrum_id"), F.lit(16))).sortWithinPartitions("uuid", "ms_run", "spectrum_id")
-    out.write.partitionBy("uuid", "ms_run").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path)
+    out.write.partitionBy(*keys).option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path)
 
 
 def write_candidates(candidates: DataFrame, path: str) -> None:
