@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -14,10 +18,43 @@ from pyspark.sql import functions as F
 WORD_SPACE = " \t\n\x0b\x0c\r"
 
 
+#: Bytes of one Arrow batch that Spark hands to a Python worker, and of the slices that the operators work on.
+BATCH_BYTES, SLICE_BYTES = 8 << 20, 1 << 20
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Arrow batches are cut by bytes, so that a run of long texts doesn't fill a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows whose ``column`` takes ``most`` bytes at most (a longer row comes alone).
+
+    At the end freed memory goes back to the system, as workers stay alive between tasks.
+    """
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at = 0
+        while at < len(batch):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + most, "right")))
+            yield batch.slice(at, end - at)
+            at = end
+    give_back()
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder of ``spark.checkpoint.dir``; a temporary one only for a local master without that setting."""
     try:
@@ -36,9 +73,19 @@ def scratch_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: it cuts the lineage and survives lost executors."""
     spark = df.sparkSession
+    bound_batches(spark)
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of ``written`` that nothing reads any more."""
+    for t in tables:
+        path = t.sparkSession._jvm.org.apache.hadoop.fs.Path(t.scratch_path)
+        path.getFileSystem(t.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def fold(doc_id: Column, n: int, held: int) -> Column:
@@ -78,8 +125,6 @@ def ids_and_texts(batch: pa.RecordBatch, text: str = "text") -> tuple[pa.Array,
 
 def auc(y, x) -> float:
     """Area under the ROC curve, ties counted half."""
-    import numpy as np
-
     y, x = np.asarray(y), np.asarray(x, float)
     _, inv = np.unique(x, return_inverse=True)
     order = np.argsort(x, kind="stable")

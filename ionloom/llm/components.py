@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import written
+from ionloom.llm.common import discard, written
 
 
 def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -44,10 +44,12 @@ def components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b").distinct()
         large = written(large.mapInArrow(_local_roots, "a long, b long").distinct(), "components")
+        discard(e)
         # small star: link a node and its smaller neighbours to the least of them
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select("b", "m").where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         e = written(small.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "components")
+        discard(large)
         if e.join(e.select(F.col("a").alias("b")).distinct(), "b", "left_semi").isEmpty():
             break
     # stars now: no root is itself below another node

@@ -44,7 +44,7 @@ def brute_join(rows, k, num, den):
     return sorted(((r[0], len(s), ids.get(find(i)) if s else r[0]) for i, (r, s) in enumerate(zip(rows, sets, strict=True))), key=str)
 
 
-@pytest.mark.parametrize("params", [ngram_join.JoinParams(), ngram_join.JoinParams(words=5, num=80), ngram_join.JoinParams(words=2, num=60, tile=4)])
+@pytest.mark.parametrize("params", [ngram_join.JoinParams(), ngram_join.JoinParams(words=5, num=80), ngram_join.JoinParams(words=2, num=60, tile=4, weight=300)])
 def test_join_equals_brute_force(docs, rows, params):
     got = sorted(map(tuple, ngram_join.jaccard_components(docs, params).collect()), key=str)
     assert got == brute_join(rows, params.words, params.num, params.den)
