@@ -63,7 +63,7 @@ class JoinParams:
     den: int = 100
     band: float = 1.25
     #: most classes and most shingles of a tile (a larger set comes alone)
-    tile: int = 1024
+    tile: int = 512
     weight: int = 2_000_000
     leaf: int = 16
     #: most shingles whose sets a task keeps between units
@@ -375,7 +375,8 @@ def _grouped(docs: DataFrame, p: JoinParams) -> DataFrame:
     rows = written(rows.withColumn("rid", F.monotonically_increasing_id()), "join-rows")
     # one row a class, the one of the least number
     classes = written(rows.where("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("one"), F.min("rid").alias("cid")), "join-classes")
-    texts = lambda cids: rows.select(F.col("rid").alias("cid"), "z").join(cids.select("cid"), "cid", "left_semi")
+    # texts and points are moved the same way at every size
+    texts = lambda cids: rows.select(F.col("rid").alias("cid"), "z").join(cids.select("cid").hint("merge"), "cid", "left_semi")
     points = rows.select(F.col("rid").alias("cid"), "n", "p")
 
     by_key = Window.partitionBy("k").orderBy("cid")
@@ -384,8 +385,8 @@ def _grouped(docs: DataFrame, p: JoinParams) -> DataFrame:
     near = written(near.where("before is not null or after is not null"), "join-keys")
     edges = written(near.where("before is not null").select(F.col("before").alias("a"), F.col("cid").alias("b")).distinct(), "join-edges")
     active = edges.select(F.col("a").alias("cid")).union(edges.select("b")).distinct()
-    live = written(points.join(active, "cid", "left_semi"), "join-points")
-    end = lambda t, x, *cols: t.select(F.col("cid").alias(x), *(F.col(c).alias(c + x) for c in cols))
+    live = written(points.join(active.hint("merge"), "cid", "left_semi"), "join-points")
+    end = lambda t, x, *cols: t.select(F.col("cid").alias(x), *(F.col(c).alias(c + x) for c in cols)).hint("merge")
     pairs = edges.join(end(live, "a", "n", "p"), "a").join(end(live, "b", "n", "p"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(_bounded(p), "a long, b long")
     pairs = written(pairs, "join-near")
     discard(edges)
@@ -399,7 +400,7 @@ def _grouped(docs: DataFrame, p: JoinParams) -> DataFrame:
     state = live.select("cid", "n").join(comps, F.col("cid") == F.col("node"), "left").select("cid", "n", F.coalesce("root", "cid").alias("comp"))
     named = written(near.select("k", "cid").join(state, "cid"), "join-named")
     discard(near, comps)
-    dealt = _dealt(named, p).join(live.select("cid", "p"), "cid").repartition("k", "u", "v").sortWithinPartitions("k", "u", "v")
+    dealt = _dealt(named, p).join(live.select("cid", "p").hint("merge"), "cid").repartition("k", "u", "v").sortWithinPartitions("k", "u", "v")
     marked = written(dealt.mapInArrow(_tree_marks(p), MARKED).dropDuplicates(["unit", "cid"]), "join-marked")
     discard(named, live)
     left = marked.join(texts(marked.select("cid").distinct()), "cid").repartition("unit").sortWithinPartitions("unit")
