@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import table, written
+from ionloom.llm.common import slices, table, written
 
 HITS = "doc_id long, item_id long, similarity double, first_word long, n_words long"
 _U = np.uint64
@@ -242,7 +242,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, p: DecontaminationParams
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = Benchmark(shared.value, p)
-            for batch in batches:
+            for batch in slices(batches):
                 rows = [(d, *m) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if t for m in known.matches(t)]
                 cols = zip(*rows, strict=True) if rows else [()] * 5
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
@@ -261,7 +261,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, p: DecontaminationP
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = Benchmark(shared.value, p)
-            for batch in batches:
+            for batch in slices(batches):
                 yield batch.filter(pa.array([not (t and known.matches(t)) for t in batch.column("text").to_pylist()], pa.bool_()))
 
         docs = docs.mapInArrow(run, schema)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import fold, ids_and_texts, sample_rows, table
+from ionloom.llm.common import fold, ids_and_texts, sample_rows, slices, table
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _LETTER = re.compile(r"[^\W\d_]")
@@ -74,7 +74,7 @@ def slots(g: np.ndarray, log2: int) -> list[np.ndarray]:
 
 def _count_batches(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             by: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 by.setdefault(lang, []).append(grams(text, n))
@@ -146,7 +146,7 @@ def predict(docs: DataFrame, model: LanguageModel | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = predictor(shared.value)
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = ids_and_texts(batch)
             got = [of(t) for t in texts]
             yield pa.RecordBatch.from_arrays([ids, pa.array([x[0] for x in got], pa.string()), pa.array([x[1] for x in got], pa.float64())], ["doc_id", "lang_pred", "score"])

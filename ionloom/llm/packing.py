@@ -16,6 +16,7 @@ stays null; extra columns are ignored; an empty table gives no rows.  Texts of a
 from __future__ import annotations
 
 import base64
+import json
 import re
 from array import array
 from bisect import bisect_right, insort
@@ -28,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import ids_and_texts, table
+from ionloom.llm.common import ids_and_texts, slices, table
 
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, window int, step_group long"
 
@@ -36,6 +37,8 @@ PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, seq
 @dataclass(frozen=True)
 class PackingParams:
     ranks: str = "byte_bpe_50k.tiktoken"
+    #: the same vocabulary with its added tokens, which stand for themselves in a text
+    added: str = "byte_bpe_50k.json"
     tiers: tuple[int, ...] = (1024, 512, 256, 128, 64)
     end_id: int = 0
     buffer_tokens: int = 1 << 20
@@ -43,10 +46,16 @@ class PackingParams:
     cached_words: int = 400_000
 
 
-def word_encoder(ranks_path: str, cached: int) -> Callable[[str], bytes]:
+def added_tokens(path: str) -> dict[str, int]:
+    """Content and id of the vocabulary's added tokens."""
+    with open(path, encoding="utf-8") as f:
+        return {t["content"]: t["id"] for t in json.load(f)["added_tokens"]}
+
+
+def word_encoder(ranks_path: str, cached: int, added: dict[str, int] | None = None) -> Callable[[str], bytes]:
     """A function from a text to its ids as little-endian unsigned 32-bit values.
 
-    The pre-tokenizer never joins characters across a space that is followed by a non-space character, so a text is
+    Added tokens are cut out first and get their ids.  The pre-tokenizer never joins characters across a space that is followed by a non-space character, so a text is
     encoded chunk by chunk there, and chunks are looked up in a bounded cache.
     """
     import tiktoken
@@ -71,7 +80,7 @@ def word_encoder(ranks_path: str, cached: int) -> Callable[[str], bytes]:
 
     cache = Known()
 
-    def of(text: str) -> bytes:
+    def plain(text: str) -> bytes:
         if not text:
             return b""
         first, *rest = cut.split(text) if odd.search(text) else text.split(" ")
@@ -79,6 +88,15 @@ def word_encoder(ranks_path: str, cached: int) -> Callable[[str], bytes]:
             return b"".join(map(cache.__getitem__, rest))
         return ids(first) + b"".join(map(cache.__getitem__, rest))
 
+    if not added:
+        return plain
+    known = {w: array("I", [i]).tobytes() for w, i in added.items()}
+    apart = re.compile("(" + "|".join(map(re.escape, sorted(added, key=len, reverse=True))) + ")")
+
+    def of(text: str) -> bytes:
+        parts = apart.split(text)
+        return plain(text) if len(parts) == 1 else b"".join(known[x] if i % 2 else plain(x) for i, x in enumerate(parts))
+
     return of
 
 
@@ -144,10 +162,10 @@ class Packer:
             yield size, self._fill(size, 0)
 
 
-def _pack_batches(p: PackingParams, ranks_path: str):
+def _pack_batches(p: PackingParams, ranks_path: str, added: dict[str, int]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        encode, packer, held, n_rows, n_windows = word_encoder(ranks_path, p.cached_words), Packer(p), {}, 0, 0
+        encode, packer, held, n_rows, n_windows = word_encoder(ranks_path, p.cached_words, added), Packer(p), {}, 0, 0
         per_tier: dict[int, int] = {}
         end = array("I", [p.end_id]).tobytes()
         tier_no = {1 << k: k for k in range(32)}
@@ -171,7 +189,7 @@ def _pack_batches(p: PackingParams, ranks_path: str):
             names = [c.split()[0] for c in PIECES.split(", ")]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = ids_and_texts(batch)
             for doc_id, text in zip(ids.to_pylist(), texts, strict=True):
                 held[n_rows] = (doc_id, encode(text) + end)
@@ -199,8 +217,9 @@ def _pack_batches(p: PackingParams, ranks_path: str):
 def pack(docs: DataFrame, params: PackingParams = PackingParams(), ranks_path: str | None = None) -> DataFrame:
     """Pieces of all documents with their ids, window, place in the window and step group."""
     path = ranks_path or public_tokenizers.path(params.ranks)
+    added = added_tokens(public_tokenizers.path(params.added))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(_pack_batches(params, path), PIECES)
+    return docs.mapInArrow(_pack_batches(params, path, added), PIECES)
 
 
 def with_crc(pieces: DataFrame) -> DataFrame:

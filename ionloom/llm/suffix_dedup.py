@@ -39,7 +39,11 @@ import zstandard as zs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import table, written
+from ionloom.llm.common import discard, give_back, slices, table, written
+
+
+#: Compressed bytes of the texts that are worked on together.
+SLICE = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -47,7 +51,7 @@ class SuffixParams:
     length: int = 200
     gram: int = 64
     piece: int = 1 << 20
-    bucket: int = 20_000
+    bucket: int = 10_000
     sample: int = 64
     hot: int = 16
     most_hot: int = 10_000
@@ -121,7 +125,7 @@ def _unpack(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     c = zs.ZstdCompressor(level=1)
-    for batch in batches:
+    for batch in slices(batches):
         z = pa.array([c.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), z], ["key", "doc_id", "z"])
 
@@ -129,7 +133,7 @@ def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _anchor_rows(p: SuffixParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zs.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, "z", SLICE):
             g, tid, x = [], [], []
             for t, z in zip(batch.column("tid").to_pylist(), batch.column("z").to_pylist(), strict=True):
                 for gs, a, lo, hi in text_anchors(np.frombuffer(d.decompress(z), np.uint8), p):
@@ -166,7 +170,7 @@ def _frequent_rows(p: SuffixParams, grams: frozenset):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d, digest = zs.ZstdDecompressor(), xxhash.xxh3_128_digest
-        for batch in batches:
+        for batch in slices(batches, "z", SLICE):
             for z in batch.column("z").to_pylist():
                 b = d.decompress(z)
                 for g, *where in text_anchors(np.frombuffer(b, np.uint8), p):
@@ -184,7 +188,7 @@ def _sure_spans(p: SuffixParams, hot: Hot):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zs.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, "z", SLICE):
             for t, z, gs, xs in zip(*(batch.column(c).to_pylist() for c in ("tid", "z", "gs", "xs")), strict=True):
                 if hot.grams.isdisjoint(gs):
                     continue
@@ -205,7 +209,7 @@ def _suffix_rows(p: SuffixParams, hot: Hot):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zs.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, "z", SLICE):
             for t, z, gs, xs in zip(*(batch.column(c).to_pylist() for c in ("tid", "z", "gs", "xs")), strict=True):
                 b = d.decompress(z)
                 rows = []
@@ -216,8 +220,8 @@ def _suffix_rows(p: SuffixParams, hot: Hot):
                         if name not in hot.windows:
                             block = int.from_bytes(name[:8], "big", signed=True) if name else 0
                             rows.append((lead, g, block, t, a << 16 | lo << 8 | hi, b[a - hi : a], b[a : a - lo + p.length]))
-                for i in range(0, len(rows), 20_000):
-                    part = rows[i : i + 20_000]
+                for i in range(0, len(rows), 5_000):
+                    part = rows[i : i + 5_000]
                     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
                     yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*part, strict=True), kinds, strict=True)], SUFFIX_NAMES)
 
@@ -315,6 +319,7 @@ def _bucket(p: SuffixParams):
             held = t.slice(cut).combine_chunks().to_batches()
         if held:
             yield work(pa.Table.from_batches(held))
+        give_back()
 
     return run
 
@@ -322,7 +327,7 @@ def _bucket(p: SuffixParams):
 def _cut_rows(p: SuffixParams):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         d = zs.ZstdDecompressor()
-        for batch in batches:
+        for batch in slices(batches, "z", SLICE):
             for key, z, spans in zip(*(batch.column(c).to_pylist() for c in ("key", "z", "spans")), strict=True):
                 b = d.decompress(z)
                 merged: list[list[int]] = []
@@ -350,7 +355,7 @@ _NOTHING = hashlib.sha256(b"").hexdigest()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("text", F.coalesce(F.col("text"), F.lit(""))).withColumn("key", F.unhex(F.md5("text")))
+    return docs.withColumn("text", F.coalesce(F.col("text"), F.lit(""))).withColumn("key", F.unhex(F.sha2("text", 256)))
 
 
 def _hot(sample: DataFrame, p: SuffixParams) -> Hot:
@@ -367,7 +372,7 @@ def _hot(sample: DataFrame, p: SuffixParams) -> Hot:
 
 
 def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFrame:
-    """One row a distinct text: key (its MD5), n_bytes, n_removed, n_spans, kept_sha256, and kept, the text that is left without
+    """One row a distinct text: key (its SHA-256), n_bytes, n_removed, n_spans, kept_sha256, and kept, the text that is left without
     partly cut characters (null if nothing was cut)."""
     spark = docs.sparkSession
     rows = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
@@ -387,6 +392,7 @@ def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFra
     pairs = found.withColumn("salt", salt).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("g", "salt"))).where("n >= 2 or hot")
     per_text = pairs.groupBy("tid").agg(F.collect_list("g").alias("gs"), F.collect_list("x").alias("xs"))
     live = written(texts.join(per_text, "tid"), "suffix-live")
+    discard(texts)
 
     wide = live.select("tid", "z", "gs", "xs").mapInArrow(_suffix_rows(p, hot), SUFFIXES)
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
@@ -410,16 +416,18 @@ def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFra
 
 def drop_repeated(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFrame:
     """``docs`` with repeated strings cut out of text (partly cut characters go too) and n_chars, if there, counted anew."""
-    out = written(repeated_spans(docs, p).where("n_removed > 0").select(F.col("key").alias("key__"), F.col("kept").alias("kept__")), "suffix-kept")
-    rows = docs.withColumn("key__", F.unhex(F.md5(F.coalesce(F.col("text"), F.lit(""))))).join(out, "key__", "left")
-    rows = rows.withColumn("text", F.coalesce("kept__", "text"))
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("kept__").isNull(), F.col("n_chars")).otherwise(F.length("text")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(*docs.columns)
+    out = written(repeated_spans(docs, p).where("n_removed > 0").select("key", "kept"), "suffix-kept")
+    row = F.struct(*docs.columns)  # the columns stay together, so their names can't clash
+    rows = docs.select(row.alias("row"), F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)).alias("key")).join(out, "key", "left")
+    cols = {c: F.col("row").getField(c) for c in docs.columns}
+    cols["text"] = F.coalesce("kept", cols["text"])
+    if "n_chars" in cols:
+        cols["n_chars"] = F.when(F.col("kept").isNull(), cols["n_chars"]).otherwise(F.length("kept")).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(c.alias(name) for name, c in cols.items()))
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _keyed(table(spark, sf_dir, "documents").select(F.col("doc_id").cast("long").alias("doc_id"), "text"))
     found = written(repeated_spans(docs.select("doc_id", "text")).drop("kept"), "suffix-found")
-    rows = docs.select("doc_id", "key", F.sha2("text", 256).alias("whole"))
-    return rows.join(found, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", F.coalesce("kept_sha256", "whole").alias("kept_sha256"))
+    whole = F.lower(F.hex("key"))
+    return docs.select("doc_id", "key").join(found, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", F.coalesce("kept_sha256", whole).alias("kept_sha256"))

@@ -29,7 +29,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import table
+from ionloom.llm.common import slices, table
 
 MARK = "▁"
 COUNTS = "doc_id long, n_tokens long, n_pretokens long"
@@ -146,7 +146,7 @@ def count_tokens(docs: DataFrame, params: TokenCountParams = TokenCountParams(),
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = text_counter(piece_scores(path), params)
-        for batch in batches:
+        for batch in slices(batches):
             got = [(None, None) if t is None else of(t) for t in batch.column("text").to_pylist()]
             cols = [pa.array([g[i] for g in got], pa.int64()) for i in (0, 1)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *cols], ["doc_id", "n_tokens", "n_pretokens"])

@@ -14,7 +14,7 @@ Bounds: the model is fitted on at most ``max_docs`` labelled documents and ``max
 (``ToxicityParams``).  Scoring covers every byte of every text, one Arrow batch at a time, without a shuffle.
 
 Edge cases: null and empty texts score like a document without any saving.  Rows with a null label or null doc_id are not
-learned from.  Repeated rows are scored one by one.  Extra columns are ignored by ``score`` and kept by ``drop_toxic``.
+learned from; of rows that repeat a doc_id one is.  Repeated rows are scored one by one.  Extra columns are ignored by ``score`` and kept by ``drop_toxic``.
 Without labels of both classes every score is 0.
 """
 
@@ -32,7 +32,7 @@ import zstandard as zs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import fold, ids_and_texts, sample_ids, table, written
+from ionloom.llm.common import fold, ids_and_texts, sample_ids, slices, table, written
 
 
 @dataclass(frozen=True)
@@ -102,7 +102,7 @@ def features(saved: np.ndarray) -> tuple[float, ...]:
 def _features_batches(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of, w = savings(model), model.params.window
-        for batch in batches:
+        for batch in slices(batches):
             ids, texts = ids_and_texts(batch)
             got = [features(of(windows(t, w))) for t in texts]
             cols = np.array(got, float).reshape(-1, 4).T
@@ -116,7 +116,7 @@ FEATURES = "doc_id long, f0 double, f1 double, f2 double, f3 double"
 
 def _window_rows(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for doc, t in zip(*ids_and_texts(batch), strict=True):
                 if ws := windows(t, size):
                     yield pa.RecordBatch.from_arrays([pa.array(ws, pa.binary()), pa.array([doc.as_py()] * len(ws), pa.int64())], ["w", "doc"])
@@ -180,7 +180,7 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     if len(shares) < 2:
         return None
     sample = F.broadcast(sample_ids(known, "y", params.max_docs))
-    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(sample, "doc_id")
+    rows = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(sample, "doc_id").groupBy("doc_id", "y").agg(F.min("text").alias("text"))
     # dictionaries from three fifths of the sample, the curve from the rest, whose texts they haven't seen
     rows = written(rows.withColumn("curve", F.pmod(F.xxhash64("doc_id"), F.lit(5)) >= 3), "toxicity-sample")
     found = {}
@@ -225,7 +225,7 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = savings(model)
-        for batch in batches:
+        for batch in slices(batches):
             x = np.array([features(of(windows(s or "", size))) for s in batch.column("text").to_pylist()], float).reshape(-1, 4)
             keep = 1 / (1 + np.exp(-(x @ weights + const))) < t
             yield batch.filter(pa.array(keep))

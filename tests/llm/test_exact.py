@@ -44,6 +44,61 @@ def brute_join(rows, k, num, den):
     return sorted(((r[0], len(s), ids.get(find(i)) if s else r[0]) for i, (r, s) in enumerate(zip(rows, sets, strict=True))), key=str)
 
 
+def test_sets_of_unequal_size_share_a_key():
+    rng = np.random.default_rng(5)
+    for num in (60, 50, 70, 80, 90):
+        p = ngram_join.JoinParams(num=num)
+        for n in (5, 40, 160, 700):
+            big = np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64))
+            small = big[np.sort(rng.permutation(len(big))[: -(-len(big) * num // 100)])]
+            assert ngram_join.linked(small, big, p) and set(ngram_join.keys(small, p).tolist()) & set(ngram_join.keys(big, p).tolist())
+
+
+@pytest.mark.parametrize("size", [150, 450])
+def test_rows_of_the_join_grow_with_a_group(spark, size):
+    """A group of near copies, most of them unlinked: units give rows for classes, not for pairs."""
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
+    p = ngram_join.JoinParams(words=1, tile=64)
+    rows = []
+    for i in range(size):
+        s = base.copy()
+        s[rng.permutation(300)[: 10 if i % 2 else 20]] = rng.integers(0, 1 << 63, 10 if i % 2 else 20, dtype=np.uint64)
+        rows.append((i, " ".join(map(str, s.tolist()))))
+    df = spark.createDataFrame(rows, "cid long, text string")
+    sets = {i: ngram_join.shingle_set(t.encode(), 1) for i, t in rows}
+    import zstandard as zs
+
+    named = spark.createDataFrame([(7, i, i, len(s)) for i, s in sets.items()], "k long, cid long, comp long, n long")
+    points = spark.createDataFrame([(i, bytearray(zs.compress(ngram_join.point(s).tobytes()))) for i, s in sets.items()], "cid long, p binary")
+    dealt = ngram_join._dealt(named, p)
+    assert dealt.count() <= size * (2 + -(-size // p.tile))
+    assert max(r["count"] for r in dealt.groupBy("k", "u", "v").count().collect()) < 4 * p.tile
+    dealt = dealt.join(points, "cid").repartition("k", "u", "v").sortWithinPartitions("k", "u", "v")
+    marked = dealt.mapInArrow(ngram_join._tree_marks(p), ngram_join.MARKED)
+    assert marked.count() <= dealt.count()
+    texts = df.rdd.map(lambda r: (r.cid, bytearray(zs.compress(r.text.encode())))).toDF("cid long, z binary")
+    links = marked.join(texts, "cid").repartition("unit").sortWithinPartitions("unit").mapInArrow(ngram_join._merging_links(p), "a long, b long").collect()
+    units = marked.select("unit").distinct().count()
+    assert len(links) < marked.count() and units > 1
+    root = list(range(size))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for r in links:
+        root[max(find(r.a), find(r.b))] = min(find(r.a), find(r.b))
+    got = [find(i) for i in range(size)]
+    root = list(range(size))
+    for i in range(size):
+        for j in range(i):
+            if ngram_join.linked(sets[i], sets[j], p):
+                root[max(find(i), find(j))] = min(find(i), find(j))
+    assert got == [find(i) for i in range(size)] and len(set(got)) > 1
+
+
 @pytest.mark.parametrize("params", [ngram_join.JoinParams(), ngram_join.JoinParams(words=5, num=80), ngram_join.JoinParams(words=2, num=60, tile=4, weight=300)])
 def test_join_equals_brute_force(docs, rows, params):
     got = sorted(map(tuple, ngram_join.jaccard_components(docs, params).collect()), key=str)
@@ -109,6 +164,13 @@ def test_cut_equals_brute_force(docs, rows, params):
     assert kept == sorted([(r[0], r[5].decode("utf-8", "ignore")) for r in want if (r[0], None) not in nulls] + nulls, key=str)
 
 
+def test_cut_with_clashing_columns_and_empty_table(docs):
+    more = docs.withColumns({"kept": F.lit(1), "key__": F.lit("a"), "kept__": F.lit("b"), "row": F.lit(2)})
+    out = suffix_dedup.drop_repeated(more)
+    assert out.columns == more.columns and out.count() == docs.count() and out.where("kept != 1 or key__ != 'a' or kept__ != 'b' or row != 2").isEmpty()
+    assert suffix_dedup.drop_repeated(docs.limit(0)).count() == 0
+
+
 def test_multikey_order():
     rows = np.random.default_rng(0).integers(97, 99, (500, 21)).astype(np.uint8)
     order = suffix_dedup.multikey_order(rows)
@@ -156,7 +218,6 @@ def test_pieces_are_exact(spark, docs, rows):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     want = Counter((i, *tok.encode(t or "", add_special_tokens=False).ids, 0) for i, t, *_ in rows)
     got = [r.asDict() for r in packing.pack(docs.repartition(3), packing.PackingParams(buffer_tokens=3000)).collect()]
     seqs, texts = {}, {}
@@ -180,6 +241,10 @@ def test_pieces_are_exact(spark, docs, rows):
         assert len(flat) == copies * n
         total[i, n] += copies
     assert total == Counter((k[0], len(k) - 1) for k in want.elements())
+    assert packing.pack(docs.limit(0)).count() == 0
+    odd = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y", "<|endoftext", " <|endoftext|>z", "a  <|endoftext|> "]
+    known = packing.word_encoder(public_tokenizers.path("byte_bpe_50k.tiktoken"), 100, packing.added_tokens(public_tokenizers.path("byte_bpe_50k.json")))
+    assert [np.frombuffer(known(t), "<u4").tolist() for t in odd] == [tok.encode(t, add_special_tokens=False).ids for t in odd]
     one = packing.pack(docs.where("doc_id = 98"))
     flat = [x for r in one.orderBy("start").collect() for x in np.frombuffer(r.ids, "<u4").tolist()]
     assert (98, *flat) in want

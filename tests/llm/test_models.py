@@ -59,6 +59,22 @@ def test_quality_edge_cases(spark, docs, tables):
     assert len(got) == docs.count() and got.score.between(0, 1).all()
 
 
+def test_models_without_documents_or_with_one_class(spark, tables):
+    docs, labels = tables
+    none = docs.limit(0)
+    assert quality.fit(none, labels) == pytest.approx(quality.fit(docs.where("doc_id < 0"), labels))
+    assert quality.score(none, quality.fit(none, labels)).count() == 0 and toxicity.fit(none, labels) is None
+    ones = docs.join(labels.where("quality = 1"), "doc_id", "left_semi")
+    share = quality.fit(ones, labels)
+    assert isinstance(share, float) and 0 < share < 1
+    assert quality.score(docs, share).where(F.col("score") != share).isEmpty()
+    few = labels.where("doc_id < 400")
+    twice = docs.where("doc_id < 400")
+    twice = twice.unionByName(twice)
+    a, b = (quality.fit(x, few, quality.QualityParams(epochs=2)) for x in (twice, docs))
+    assert a.words and len(a.mean) == len(b.mean)
+
+
 def test_toxicity(spark, tables):
     got = toxicity.op9_toxicity(spark, DIR).join(tables[1], "doc_id").toPandas()
     held = got[got.held_out]
