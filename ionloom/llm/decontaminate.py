@@ -17,7 +17,7 @@ Scale: one pass over the documents without a shuffle.  The benchmark goes to the
 pass and one broadcast of that bounded size for each block.
 
 Edge cases: null text on either side matches nothing; items with fewer words than a shingle are one shingle and must occur as
-they are; repeated items are found one by one, repeated documents too; a null doc_id stays null; extra columns are ignored by
+they are; an item_id gives one row a document, with the best window over all its texts; repeated documents are found one by one; a null doc_id stays null; extra columns are ignored by
 ``contaminated`` and kept by ``drop_contaminated``; empty tables give no matches.
 """
 
@@ -222,14 +222,14 @@ class Benchmark:
 
 
 def _blocks(benchmark: DataFrame, p: DecontaminationParams) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of a bounded size."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null").orderBy("item_id", "text")
+    """Items in blocks of a bounded size; repeated items count once, and texts of one item_id stay in one block."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null").distinct().orderBy("item_id", "text")
     block: list[tuple[int, str]] = []
     for r in items.toLocalIterator():
-        block.append((r.item_id, r.text))
-        if len(block) == p.block_items:
+        if len(block) >= p.block_items and r.item_id != block[-1][0]:
             yield block
             block = []
+        block.append((r.item_id, r.text))
     if block:
         yield block
 

@@ -41,3 +41,13 @@ def test_clipped_documents(spark):
         assert {tuple(r) for r in decontaminate.contaminated(docs, bench, p).collect()} == want
     assert any(len(words(rows[d][1])) < len(words(items[i][1])) for d, i, *_ in want if i < 12)
     assert {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()} == {i for i, _ in rows} - {d for d, *_ in want}
+
+
+def test_repeated_items_give_one_row_at_any_block_size(spark):
+    rng = random.Random(8)
+    text, other = prose(rng, 30), prose(rng, 25)
+    bench = spark.createDataFrame([(1, text), (1, text), (1, other), (None, other), (2, text)], "item_id long, text string")
+    docs = make(spark, [(7, f"a {text} b {other} c", "en", "a"), (7, other, "en", "a")])
+    for n in (1, 2, 50_000):
+        got = sorted(((r.doc_id, r.item_id, r.n_words) for r in decontaminate.contaminated(docs, bench, decontaminate.DecontaminationParams(block_items=n)).collect()), key=str)
+        assert got == [(7, 1, 25), (7, 1, 30), (7, 2, 30), (7, None, 25), (7, None, 25)]
