@@ -11,7 +11,7 @@ from ionloom.functions.sequence import missed_cleavages, sequence_mass
 from ionloom.operators import candidates as C
 from ionloom.operators.precursors import with_bounds
 from ionloom.params import SearchParams
-from ionloom.plans.search import search
+from ionloom.plans.search import search, spectrum_errors
 from ionloom.session import session
 from ionloom.sources import mzml, sinks, tables
 from ionloom.streaming import runner
@@ -71,8 +71,9 @@ def main(argv: list[str] | None = None) -> int:
     elif a.command == "search-space-build":
         sp = _params(a.params)
         rows = with_bounds(spark.range(1).select(F.lit(a.mass).cast("long").alias("m")), "m", sp.lower_mass_tolerance_ppm, sp.upper_mass_tolerance_ppm)
+        least, most = a.mass - a.mass * sp.lower_mass_tolerance_ppm // 1_000_000, a.mass + a.mass * sp.upper_mass_tolerance_ppm // 1_000_000
         width = C.bin_width(a.mass * 2, sp.lower_mass_tolerance_ppm, sp.upper_mass_tolerance_ppm)
-        found = C.mass_window_join(rows, tables.read_library(spark, a.library), width, "mass").select("m", F.col("sequence").alias("peptide"), F.lit(True).alias("is_target"))
+        found = C.mass_window_join(rows, tables.read_library(spark, a.library, most, least), width, "mass").select("m", F.col("sequence").alias("peptide"), F.lit(True).alias("is_target"))
         sinks.write_fasta(found, a.out, ["m"], ["peptide"])
     elif a.command == "index-spectrum-file":
         mzml.index_json(mzml.spectrum_index(spark, a.mzml)).write.mode("overwrite").json(a.out)
@@ -80,8 +81,10 @@ def main(argv: list[str] | None = None) -> int:
         for r in mzml.extract_spectrum(spark, a.mzml, a.spectrum_id).limit(1).collect():
             print(r.mzml, end="")
     elif a.command == "local-run":
-        found = search(mzml.read_spectra(spark, a.spectra, a.uuid), tables.read_library(spark, a.library), _params(a.params), a.max_dalton * constants.SCALE)
+        spectra = mzml.read_spectra(spark, a.spectra, a.uuid)
+        found = search(spectra, tables.read_library(spark, a.library), _params(a.params), a.max_dalton * constants.SCALE)
         sinks.write_psms(found, a.out)
+        sinks.append_errors(spectrum_errors(spectra), a.out + ".errors")
     elif a.command == "remote-run":
         step = lambda df: search(df, tables.read_library(spark, a.library), _params(a.params), a.max_dalton * constants.SCALE)
         runner.run_stream(runner.watch_spectra(spark, a.spectra), step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint").awaitTermination()

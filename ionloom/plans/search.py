@@ -22,6 +22,18 @@ def precursor_rows(spectra: DataFrame, p: SearchParams) -> DataFrame:
     return precursors.with_bounds(rows, "mass_int", p.lower_mass_tolerance_ppm, p.upper_mass_tolerance_ppm)
 
 
+def spectrum_errors(spectra: DataFrame) -> DataFrame:
+    """uuid, ms_run, spectrum_id, precursor and error of what the search can't use; one row each, as ``append_errors`` takes them."""
+    ms2 = precursors.ms2_spectra(spectra).select("uuid", "ms_run", "spectrum_id", "mz", "intensity", "precursors")
+    none = F.lit(None).cast("struct<mz:double,charge:smallint>")
+    said = F.when(F.coalesce(F.size("mz"), F.lit(0)) <= 0, "no peaks").when(~F.coalesce(F.size("mz") == F.size("intensity"), F.lit(False)), "arrays differ in length").when(F.coalesce(F.size("precursors"), F.lit(0)) <= 0, "no precursor")
+    whole = ms2.select("uuid", "ms_run", "spectrum_id", none.alias("precursor"), said.alias("error")).where("error is not null")
+    each = ms2.select("uuid", "ms_run", "spectrum_id", F.explode("precursors").alias("p"))
+    each = each.select("uuid", "ms_run", "spectrum_id", F.col("p").cast("struct<mz:double,charge:smallint>").alias("precursor"))
+    bad = F.when(F.col("precursor.mz").isNull() | F.isnan("precursor.mz"), "precursor without m/z").when(F.col("precursor.mz") <= 0, "precursor m/z is not positive")
+    return whole.unionAll(each.withColumn("error", bad).where("error is not null"))
+
+
 def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0) -> DataFrame:
     """scan, peptide, theoretical mass and is_target: library peptides in the window and decoys that are no targets."""
     width = C.bin_width(max_mass, p.lower_mass_tolerance_ppm, p.upper_mass_tolerance_ppm)

@@ -31,21 +31,33 @@ def _terms(node) -> list[tuple[str, str]]:
     return [(x.get("accession"), x.get("value")) for x in node if _name(x.tag) == "cvParam"]
 
 
+def _number(kind: type, value: str | None):
+    """The value as a number, null if it is none."""
+    try:
+        return kind(value)
+    except (TypeError, ValueError):
+        return None
+
+
 def _array(node) -> tuple[str | None, list[float]]:
+    """Kind and values of a binary array; one that can't be decoded is empty."""
     terms = dict(_terms(node))
     data = next((x.text or "" for x in node if _name(x.tag) == "binary"), "")
-    raw = base64.b64decode(data)
-    raw = zlib.decompress(raw) if ZLIB in terms and raw else raw
     kind = MZ_ARRAY if MZ_ARRAY in terms else INTENSITY_ARRAY if INTENSITY_ARRAY in terms else None
-    return kind, np.frombuffer(raw, "<f4" if FLOAT32 in terms else "<f8").astype(float).tolist()
+    try:
+        raw = base64.b64decode(data, validate=False)
+        raw = zlib.decompress(raw) if ZLIB in terms and raw else raw
+        return kind, np.frombuffer(raw, "<f4" if FLOAT32 in terms else "<f8").astype(float).tolist()
+    except (ValueError, zlib.error):
+        return kind, []
 
 
 def spectra_of(content: bytes) -> Iterator[dict]:
-    """Spectra in file order; a precursor without m/z has a null m/z, one without charge a null charge."""
+    """Spectra in file order; a precursor without m/z has a null m/z, one without charge a null charge, also where the value is no number."""
     for _, node in iterparse(io.BytesIO(content), events=("end",)):
         if _name(node.tag) != "spectrum":
             continue
-        level = next((int(v) for a, v in _terms(node) if a == MS_LEVEL and v), None)
+        level = next((_number(int, v) for a, v in _terms(node) if a == MS_LEVEL), None)
         arrays, precursors = {}, []
         for x in node.iter():
             if _name(x.tag) == "binaryDataArray":
@@ -53,8 +65,8 @@ def spectra_of(content: bytes) -> Iterator[dict]:
                 arrays[kind] = values
             elif _name(x.tag) == "selectedIon":
                 terms = _terms(x)
-                mz = next((float(v) for a, v in terms if a == SELECTED_MZ), None)
-                charges = [int(v) for a, v in terms if a == CHARGE] + [int(v) for a, v in terms if a == POSSIBLE_CHARGE]
+                mz = next((_number(float, v) for a, v in terms if a == SELECTED_MZ), None)
+                charges = [_number(int, v) for want in (CHARGE, POSSIBLE_CHARGE) for a, v in terms if a == want]
                 precursors += [{"mz": mz, "charge": z} for z in charges or [None]]
         yield {"spectrum_id": node.get("id"), "ms_level": level, "mz": arrays.get(MZ_ARRAY, []), "intensity": arrays.get(INTENSITY_ARRAY, []), "precursors": precursors}
         node.clear()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ionloom.constants import PSM_SCHEMA
 from ionloom.operators.ptm import PTM_SCHEMA
 
-LIBRARY_SCHEMA = "partition long, mass long, sequence string, missed_cleavages short"
+LIBRARY_SCHEMA = "bin_width long, partition long, mass long, sequence string, missed_cleavages short"
 
 
 def read_ptms(spark: SparkSession, path: str) -> DataFrame:
@@ -21,16 +21,23 @@ def read_ptms(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_library(spark: SparkSession, path: str, max_mass: int | None = None, min_mass: int | None = None) -> DataFrame:
-    """Peptides; literal mass bounds reach the Parquet scan."""
+    """Peptides; mass bounds prune the folders of ``write_library`` and reach the Parquet scan.
+
+    Folders without a bin width, as other writers leave them, are read by the mass alone.
+    """
     rows = spark.read.schema(LIBRARY_SCHEMA).parquet(path)
-    rows = rows if min_mass is None else rows.where(F.col("mass") >= min_mass)
-    return rows if max_mass is None else rows.where(F.col("mass") <= max_mass)
+    folder = lambda mass: F.floor(F.lit(mass) / F.col("bin_width"))
+    if min_mass is not None:
+        rows = rows.where(F.coalesce(F.col("partition") >= folder(min_mass), F.lit(True))).where(F.col("mass") >= min_mass)
+    if max_mass is not None:
+        rows = rows.where(F.coalesce(F.col("partition") <= folder(max_mass), F.lit(True))).where(F.col("mass") <= max_mass)
+    return rows
 
 
 def write_library(peptides: DataFrame, path: str, bin_width: int) -> None:
-    """Peptides partitioned by mass range and sorted in it, the layout that range reads and joins prune by."""
-    rows = peptides.withColumn("partition", F.floor(F.col("mass") / bin_width))
-    rows.repartition("partition").sortWithinPartitions("partition", "mass").write.partitionBy("partition").mode("overwrite").parquet(path)
+    """Peptides in folders by mass range, under the width of the ranges, and sorted in them."""
+    rows = peptides.withColumn("bin_width", F.lit(bin_width).cast("long")).withColumn("partition", F.floor(F.col("mass") / bin_width))
+    rows.repartition("partition").sortWithinPartitions("partition", "mass").write.partitionBy("bin_width", "partition").mode("overwrite").parquet(path)
 
 
 def read_psms(spark: SparkSession, path: str) -> DataFrame:

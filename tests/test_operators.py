@@ -222,3 +222,35 @@ def test_params_round_trip():
     assert SearchParams.from_toml(p.to_toml()) == p
     with pytest.raises(ValueError):
         SearchParams.from_toml("[search_parameters.xcorr]\nnope = 1\n")
+
+
+def test_library_bounds_prune_folders(spark, tmp_path):
+    from ionloom.sources import tables
+
+    lib = spark.range(1000).select((F.col("id") * 1000).alias("mass"), F.col("id").cast("string").alias("sequence"), F.lit(0).cast("short").alias("missed_cleavages"))
+    tables.write_library(lib, str(tmp_path / "lib"), 100_000)
+    got = tables.read_library(spark, str(tmp_path / "lib"), max_mass=350_000, min_mass=250_000)
+    assert sorted(r.mass for r in got.collect()) == list(range(250_000, 350_001, 1000))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: []" not in plan and "partition" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert len(got.inputFiles()) and {f.split("partition=")[1].split("/")[0] for f in [r[0] for r in got.select(F.input_file_name()).distinct().collect()]} == {"2", "3"}
+    lib.withColumn("partition", F.lit(0).cast("long")).write.parquet(str(tmp_path / "plain"))
+    assert tables.read_library(spark, str(tmp_path / "plain"), max_mass=5000, min_mass=3000).count() == 3
+
+
+def test_bad_spectra_become_error_rows(spark, tmp_path):
+    from ionloom.plans.search import spectrum_errors
+    from ionloom.sources import mzml, sinks
+
+    def one(i, mz, peaks="AAAAAAAA8D8="):
+        arrays = "".join(f'<binaryDataArray><cvParam accession="{a}"/><cvParam accession="MS:1000523"/><binary>{peaks}</binary></binaryDataArray>' for a in (mzml.MZ_ARRAY, mzml.INTENSITY_ARRAY))
+        return f'<spectrum id="s{i}"><cvParam accession="MS:1000511" value="2"/><selectedIon><cvParam accession="MS:1000744" value="{mz}"/><cvParam accession="MS:1000041" value="x"/></selectedIon>{arrays}</spectrum>'
+
+    (tmp_path / "a.mzML").write_text("<mzML>" + one(0, "500.5") + one(1, "bad") + one(2, "-3") + one(3, "400", "%%%") + "</mzML>")
+    spectra = mzml.read_spectra(spark, str(tmp_path / "a.mzML"), "u")
+    found = {(r.spectrum_id, r.error) for r in spectrum_errors(spectra).collect()}
+    assert found == {("s1", "precursor without m/z"), ("s2", "precursor m/z is not positive"), ("s3", "no peaks")}
+    assert all(r.precursors[0].charge is None for r in spectra.collect())
+    sinks.append_errors(spectrum_errors(spectra), str(tmp_path / "errors"))
+    assert {(r.level, r.spectrum_id) for r in spark.read.json(str(tmp_path / "errors")).collect()} == {("precursor", "s1"), ("precursor", "s2"), ("spectrum", "s3")}
+    assert spectrum_errors(spectra.limit(0)).count() == 0
