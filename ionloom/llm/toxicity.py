@@ -1,14 +1,16 @@
 """Operator 9: toxicity by compression distance.
 
-Two zstandard dictionaries are trained, one on windows of ordinary text and one on segments of toxic text.  A document
+Zstandard dictionaries are trained, one on windows of ordinary text and one a tier on segments of toxic text.  A document
 is cut into windows of about 64 bytes; each window is compressed once with the ordinary dictionary alone and once with
-the toxic dictionary in front of it.  Since both share the ordinary part, the lengths differ only where toxic material
-helps, so the saved bytes are the window's compression distance.  Mean, largest savings and the share of saving windows
-go through a logistic curve that is calibrated on training rows; ``threshold`` turns the score into a verdict.
+each toxic dictionary in front of it.  Since all share the ordinary part, the lengths differ only where toxic material
+helps, so the saved bytes are the window's compression distance.  Mean, largest savings and the share of saving windows of every
+tier go through a logistic curve that is calibrated on training rows; ``threshold`` turns the score into a verdict.
 
-Toxic segments: words of toxic training windows with a five-byte gram that occurs in many toxic documents and in a far
-smaller share of ordinary ones.  A window that several documents have counts for one of them only, which keeps copies of a
-text from lifting its own words.
+Toxic segments: words of toxic training windows with a gram that occurs in several toxic documents and in a smaller share of
+ordinary ones.  ``tiers`` lists how many times smaller and the gram's bytes; the first tier has the plainest words, and the curve
+weighs what the later ones save.  A window that several documents have counts for one of them only, which keeps copies of a
+text from lifting its own words.  If no gram of a tier is marked, its dictionary is trained on all toxic windows; if there are
+too few samples to train on, a dictionary holds their own bytes.
 
 Bounds: the model is fitted on at most ``max_docs`` labelled documents and ``max_windows`` windows a class
 (``ToxicityParams``).  Scoring covers every byte of every text, one Arrow batch at a time, without a shuffle.
@@ -39,20 +41,20 @@ from ionloom.llm.common import fold, ids_and_texts, sample_ids, slices, table, w
 class ToxicityParams:
     window: int = 64
     ordinary_dict: int = 8192
-    toxic_dict: int = 2048
+    toxic_dict: int = 4096
     level: int = 7
     max_docs: int = 4000
     max_windows: int = 100_000
-    gram: int = 5
     min_docs: int = 18
-    ratio: float = 40.0
+    #: share in toxic documents over that in ordinary ones, and bytes of a gram, for each toxic dictionary
+    tiers: tuple[tuple[float, int], ...] = ((40.0, 5), (8.0, 5), (3.0, 6))
     threshold: float = 0.7
 
 
 @dataclass(frozen=True)
 class ToxicityModel:
     ordinary: bytes
-    toxic: bytes
+    toxic: tuple[bytes, ...]
     weights: tuple[float, ...]
     params: ToxicityParams
 
@@ -80,38 +82,56 @@ def _compressor(dictionary: bytes, p: ToxicityParams) -> zs.ZstdCompressor:
 
 
 def savings(model: ToxicityModel) -> callable:
-    """A function from windows to the bytes that the toxic dictionary saves in each."""
-    a, b = _compressor(model.ordinary, model.params), _compressor(model.toxic + model.ordinary, model.params)
+    """A function from windows to the bytes that each toxic dictionary saves in each, one row a dictionary."""
+    a = _compressor(model.ordinary, model.params)
+    tiers = [_compressor(x + model.ordinary, model.params) for x in model.toxic]
 
     def of(ws: list[bytes]) -> np.ndarray:
-        ca, cb = a.compress, b.compress
-        return np.fromiter((len(ca(w)) - len(cb(w)) for w in ws), np.float64, len(ws))
+        plain = np.fromiter((len(a.compress(w)) for w in ws), np.float64, len(ws))
+        return np.array([plain - np.fromiter((len(t.compress(w)) for w in ws), np.float64, len(ws)) for t in tiers]).reshape(len(tiers), len(ws))
 
     return of
 
 
-def features(saved: np.ndarray) -> tuple[float, ...]:
-    """Mean, largest, mean of the two largest, and shrunken sum of savings over 2 bytes."""
-    n = len(saved)
+def features(saved: np.ndarray) -> np.ndarray:
+    """For each row of ``saved``: mean, largest, mean of the two largest, and shrunken sum of savings over 2 bytes."""
+    n = saved.shape[1]
     if not n:
-        return (0.0,) * 4
-    top = np.sort(saved)[::-1][:2]
-    return float(saved.mean()), float(top[0]), float(top.mean()), float(np.maximum(saved - 2, 0).sum() / (n + 5))
+        return np.zeros(4 * len(saved))
+    top = np.sort(saved, 1)[:, ::-1][:, :2]
+    return np.stack([saved.mean(1), top[:, 0], top.mean(1), np.maximum(saved - 2, 0).sum(1) / (n + 5)], 1).reshape(-1)
+
+
+def _matrix(model: ToxicityModel, texts: list[str | None], of: callable) -> np.ndarray:
+    return np.array([features(of(windows(t or "", model.params.window))) for t in texts], float).reshape(-1, 4 * len(model.toxic))
+
+
+def _scores(model: ToxicityModel, x: np.ndarray) -> np.ndarray:
+    *w, const = model.weights
+    return 1 / (1 + np.exp(-np.clip(x @ np.array(w) + const, -700, 700)))
 
 
 def _features_batches(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of, w = savings(model), model.params.window
+        of = savings(model)
         for batch in slices(batches):
             ids, texts = ids_and_texts(batch)
-            got = [features(of(windows(t, w))) for t in texts]
-            cols = np.array(got, float).reshape(-1, 4).T
-            yield pa.RecordBatch.from_arrays([ids, *(pa.array(c) for c in cols)], ["doc_id", "f0", "f1", "f2", "f3"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(_matrix(model, texts, of).tolist(), pa.list_(pa.float64()))], ["doc_id", "f"])
 
     return run
 
 
-FEATURES = "doc_id long, f0 double, f1 double, f2 double, f3 double"
+def _score_batches(model: ToxicityModel):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of = savings(model)
+        for batch in slices(batches):
+            ids, texts = ids_and_texts(batch)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(_scores(model, _matrix(model, texts, of)))], ["doc_id", "score"])
+
+    return run
+
+
+FEATURES = "doc_id long, f array<double>"
 
 
 def _window_rows(size: int):
@@ -124,11 +144,11 @@ def _window_rows(size: int):
     return run
 
 
-def toxic_segments(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, int]], p: ToxicityParams) -> list[bytes]:
-    """Words with a marked gram; grams are counted once a document, over (window, document) pairs without repeated windows."""
+def toxic_segments(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, int]], ratio: float, gram: int, min_docs: int) -> list[bytes]:
+    """Words with a marked gram of ``gram`` bytes; grams are counted once a document, over (window, document) pairs without repeated windows."""
 
     def grams(w: bytes) -> set[bytes]:
-        return {w[i : i + p.gram] for i in range(len(w) - p.gram + 1)}
+        return {w[i : i + gram] for i in range(len(w) - gram + 1)}
 
     def counted(pairs: list[tuple[bytes, int]]) -> tuple[Counter, int]:
         c, n = Counter(), 0
@@ -138,8 +158,8 @@ def toxic_segments(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, i
         return c, max(1, n)
 
     (t, nt), (o, no) = counted(toxic), counted(ordinary)
-    least = max(2, min(p.min_docs, nt // 30))
-    marks = {g for g, k in t.items() if k >= least and k / nt >= p.ratio * (o[g] + 0.5) / no}
+    least = max(2, min(min_docs, nt // 30))
+    marks = {g for g, k in t.items() if k >= least and k / nt >= ratio * (o[g] + 0.5) / no}
     out = []
     for w, _ in sorted(toxic):
         out += [s for x in w.split() if grams(s := b" " + x) & marks]
@@ -154,8 +174,8 @@ def _train(size: int, samples: list[bytes]) -> bytes:
 
 
 def _dictionaries(toxic: list[tuple[bytes, int]], ordinary: list[tuple[bytes, int]], p: ToxicityParams) -> ToxicityModel:
-    segments = toxic_segments(toxic, ordinary, p) or [w for w, _ in toxic]
-    return ToxicityModel(_train(p.ordinary_dict, [w for w, _ in ordinary]), _train(p.toxic_dict, segments), (), p)
+    segments = [toxic_segments(toxic, ordinary, ratio, gram, p.min_docs) or [w for w, _ in toxic] for ratio, gram in p.tiers]
+    return ToxicityModel(_train(p.ordinary_dict, [w for w, _ in ordinary]), tuple(_train(p.toxic_dict, x) for x in segments), (), p)
 
 
 def logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60, ridge: float = 1e-2) -> np.ndarray:
@@ -190,10 +210,10 @@ def fit(docs: DataFrame, labels: DataFrame, params: ToxicityParams = ToxicityPar
     if not found[0] or not found[1]:
         return None
     model = _dictionaries(found[1], found[0], params)
-    got = rows.where("curve").select("doc_id", "text").mapInArrow(_features_batches(model), FEATURES).join(sample, "doc_id").orderBy("doc_id", "f3").toPandas()
+    got = rows.where("curve").select("doc_id", "text").mapInArrow(_features_batches(model), FEATURES).join(sample, "doc_id").orderBy("doc_id", "f").toPandas()
     if got["y"].nunique() < 2:
         return None
-    x, y = got[["f0", "f1", "f2", "f3"]].to_numpy(float), got["y"].to_numpy(float)
+    x, y = np.stack(got["f"].to_list()).astype(float), got["y"].to_numpy(float)
     mean, scale = x.mean(0), x.std(0) + 1e-6
     w = logistic((x - mean) / scale, y)
     w = np.r_[w[:-1] / scale, w[-1] - (w[:-1] * mean / scale).sum()]
@@ -210,9 +230,7 @@ def score(docs: DataFrame, model: ToxicityModel | None, threshold: float | None
         t = ToxicityParams.threshold if threshold is None else threshold
     else:
         t = model.params.threshold if threshold is None else threshold
-        *w, const = model.weights
-        z = sum((F.col(f"f{i}") * F.lit(x) for i, x in enumerate(w)), F.lit(const))
-        out = docs.mapInArrow(_features_batches(model), FEATURES).select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+        out = docs.mapInArrow(_score_batches(model), "doc_id long, score double")
     return out.withColumn("predicted", (F.col("score") >= t).cast("int"))
 
 
@@ -220,14 +238,12 @@ def drop_toxic(docs: DataFrame, model: ToxicityModel | None) -> DataFrame:
     """The rows of ``docs`` that are not predicted toxic, with all their columns."""
     if model is None:
         return docs
-    *w, const = model.weights
-    weights, t, schema, size = np.array(w), model.params.threshold, docs.schema, model.params.window
+    t, schema = model.params.threshold, docs.schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = savings(model)
         for batch in slices(batches):
-            x = np.array([features(of(windows(s or "", size))) for s in batch.column("text").to_pylist()], float).reshape(-1, 4)
-            keep = 1 / (1 + np.exp(-(x @ weights + const))) < t
+            keep = _scores(model, _matrix(model, batch.column("text").to_pylist(), of)) < t
             yield batch.filter(pa.array(keep))
 
     return docs.mapInArrow(run, schema)

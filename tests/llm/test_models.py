@@ -1,5 +1,7 @@
 """Held-out accuracy and edge cases of the learned operators."""
 
+import math
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +109,20 @@ def test_folds(spark):
     df = spark.range(200).select(F.col("id").alias("doc_id"), fold(F.col("id"), 3, 1).alias("held"))
     assert all(r.held == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in df.collect())
     assert spark.range(1).select(fold(F.lit(None).cast("long"), 3, 1).alias("x")).first().x is False
+
+
+def test_toxicity_savings_by_plain_loops(spark, tables):
+    """Scores from one compression after another, with compressors that were not used before."""
+    model = toxicity.fit(*tables)
+    rows = tables[0].orderBy("doc_id").limit(40).collect()
+    got = {r.doc_id: r.score for r in toxicity.score(tables[0].orderBy("doc_id").limit(40), model).collect()}
+    length = lambda dictionary, w: len(toxicity._compressor(dictionary, model.params).compress(w))
+    for r in rows:
+        found = toxicity.windows(r.text or "", model.params.window)
+        z = model.weights[-1]
+        for k, extra in enumerate(model.toxic):
+            saved = sorted((length(model.ordinary, w) - length(extra + model.ordinary, w) for w in found), reverse=True)
+            n = len(saved)
+            f = (sum(saved) / n, saved[0], sum(saved[:2]) / len(saved[:2]), sum(max(0, s - 2) for s in saved) / (n + 5)) if n else (0, 0, 0, 0)
+            z += sum(a * b for a, b in zip(f, model.weights[4 * k : 4 * k + 4], strict=True))
+        assert abs(got[r.doc_id] - 1 / (1 + math.exp(-z))) < 1e-9
