@@ -93,18 +93,6 @@ def fold(doc_id: Column, n: int, held: int) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % n == held, F.lit(False))
 
 
-def sample_rows(df: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` rows at most, chosen by a hash of ``key`` (all rows if there are fewer).
-
-    The expected number is ``most``; a final ordered limit makes the bound strict.
-    """
-    n = df.count()
-    h = F.xxhash64(F.col(key).cast("string"))
-    if n > most:
-        df = df.where(F.pmod(h, F.lit(1 << 20)) < int((1 << 20) * min(1.0, 1.2 * most / n)) + 1)
-    return df.orderBy(h, F.col(key)).limit(most)
-
-
 def sample_ids(rows: DataFrame, kind: str, most: int) -> DataFrame:
     """doc_id and ``kind`` of at most ``most`` rows of every kind, chosen by a hash of doc_id, as a small written table.
 

@@ -9,13 +9,13 @@ N-grams are ``n`` UTF-8 bytes of the lower-cased text with everything but letter
 the n-grams with a share of at least ``min_share`` in its training text and at least ``min_ratio`` of the largest share
 in any language (foreign passages inside documents stay out that way).
 
-Bounds: fitted on at most ``max_docs`` documents a language; a language keeps at most 1 / min_share n-grams, and the
+Bounds: fitted on at most ``max_docs`` documents a language, picked in one pass by their ids, before texts move; a language keeps at most 1 / min_share n-grams, and the
 filter has ``positions`` entries of 1, 2, 4 or 8 bytes (up to 64 languages, else ValueError).  Every text is scored over its
 whole length, one Arrow batch at a time, without a shuffle.
 
 Edge cases: a null text, or one without a letter, gives ``und`` and score 0; ties go to the language first in order; if no
 n-gram is known, or nothing could be learned, the first language or ``und`` with score 0.  Rows with null lang or null
-doc_id are not learned from.  Repeated rows are scored one by one; extra columns are ignored.
+doc_id are not learned from; of rows that repeat a doc_id one is.  Repeated rows are scored one by one; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.llm.common import fold, ids_and_texts, sample_rows, slices, table
+from ionloom.llm.common import fold, ids_and_texts, sample_ids, slices, table
 
 _MIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)
 _LETTER = re.compile(r"[^\W\d_]")
@@ -93,11 +93,9 @@ def fit(docs: DataFrame, params: LanguageParams = LanguageParams()) -> LanguageM
         return None
     if len(langs) > 64:
         raise ValueError("a bitmask has room for 64 languages")
-    parts = [sample_rows(rows.where(F.col("lang") == x), "doc_id", params.max_docs) for x in langs]
-    sample = parts[0]
-    for x in parts[1:]:
-        sample = sample.unionAll(x)
-    counts = sample.repartition(16, F.xxhash64("doc_id")).select("lang", "text").mapInArrow(_count_batches(params.n), "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
+    picked = F.broadcast(sample_ids(rows, "lang", params.max_docs))  # ids only, 64 languages at most
+    sample = rows.join(picked, ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
+    counts = sample.select("lang", "text").mapInArrow(_count_batches(params.n), "lang string, g long, c long").groupBy("lang", "g").agg(F.sum("c").alias("c"))
     total = counts.groupBy("lang").agg(F.sum("c").alias("total"))
     shares = counts.join(F.broadcast(total), "lang").select("lang", "g", (F.col("c") / F.col("total")).alias("share")).where(F.col("share") >= params.min_share)
     top = shares.groupBy("g").agg(F.collect_list(F.struct("lang", "share")).alias("of"), F.max("share").alias("top"))
