@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import argparse
+from uuid import uuid4
 
 from pyspark.sql import functions as F
 
 from ionloom import constants
 from ionloom.functions.sequence import missed_cleavages, sequence_mass
 from ionloom.operators import candidates as C
+from ionloom.operators import ptm
 from ionloom.operators.precursors import with_bounds
 from ionloom.params import SearchParams
-from ionloom.plans.search import search, spectrum_errors
+from ionloom.plans.search import SCAN, candidate_rows, precursor_rows, search, spectrum_errors
 from ionloom.session import session
 from ionloom.sources import mzml, sinks, tables
 from ionloom.streaming import runner
@@ -43,6 +45,7 @@ def main(argv: list[str] | None = None) -> int:
     x = sub.add_parser("index-spectrum-file")
     x.add_argument("mzml")
     x.add_argument("out")
+    x.add_argument("--without-ms2", action="store_true")
     x = sub.add_parser("extract-spectrum")
     x.add_argument("mzml")
     x.add_argument("spectrum_id")
@@ -51,7 +54,9 @@ def main(argv: list[str] | None = None) -> int:
         x.add_argument("spectra")
         x.add_argument("library")
         x.add_argument("out")
-        x.add_argument("--uuid", default="search")
+        x.add_argument("--uuid", help="name of the search; a new one by default")
+        x.add_argument("--ptms", help="CSV file of static modifications")
+        x.add_argument("--decoys", help="known decoys, as append_decoys writes them")
         x.add_argument("--params")
         x.add_argument("--max-dalton", type=int, default=10_000)
     x = sub.add_parser("search-monitor")
@@ -76,18 +81,30 @@ def main(argv: list[str] | None = None) -> int:
         found = C.mass_window_join(rows, tables.read_library(spark, a.library, most, least), width, "mass").select("m", F.col("sequence").alias("peptide"), F.lit(True).alias("is_target"))
         sinks.write_fasta(found, a.out, ["m"], ["peptide"])
     elif a.command == "index-spectrum-file":
-        mzml.index_json(mzml.spectrum_index(spark, a.mzml)).write.mode("overwrite").json(a.out)
+        mzml.index_json(mzml.spectrum_index(spark, a.mzml, a.without_ms2)).write.mode("overwrite").json(a.out)
     elif a.command == "extract-spectrum":
         for r in mzml.extract_spectrum(spark, a.mzml, a.spectrum_id).limit(1).collect():
             print(r.mzml, end="")
-    elif a.command == "local-run":
-        spectra = mzml.read_spectra(spark, a.spectra, a.uuid)
-        found = search(spectra, tables.read_library(spark, a.library), _params(a.params), a.max_dalton * constants.SCALE)
+    elif a.command in ("local-run", "remote-run"):
+        sp, most, name = _params(a.params), a.max_dalton * constants.SCALE, a.uuid or str(uuid4())
+        library = tables.read_library(spark, a.library)
+        mods = ptm.static_modifications(tables.read_ptms(spark, a.ptms)) if a.ptms else ptm.UNMODIFIED
+        known = sinks.read_decoys(spark, a.decoys) if a.decoys else None
+        if a.command == "remote-run":
+            step = lambda df: search(df, library, sp, most, mods=mods, cached=known)
+            runner.run_stream(runner.watch_spectra(spark, a.spectra), step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint").awaitTermination()
+            return 0
+        spectra = mzml.read_spectra(spark, a.spectra, name)
+        found, seen = runner.observed(search(spectra, library, sp, most, mods=mods, cached=known), "matches")
         sinks.write_psms(found, a.out)
         sinks.append_errors(spectrum_errors(spectra), a.out + ".errors")
-    elif a.command == "remote-run":
-        step = lambda df: search(df, tables.read_library(spark, a.library), _params(a.params), a.max_dalton * constants.SCALE)
-        runner.run_stream(runner.watch_spectra(spark, a.spectra), step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint").awaitTermination()
+        rows = precursor_rows(spectra, sp)
+        space = candidate_rows(rows, library, sp, most, mods=mods, cached=known).join(rows.select("scan", *SCAN), "scan")
+        sizes = C.size_metric(space, SCAN)
+        sinks.metrics_long(sizes, SCAN, {"size": F.col("size"), "len": F.col("len")}).write.mode("append").parquet(a.out + ".metrics")
+        if sp.keep_fasta_files:
+            sinks.write_candidates(space, a.out + ".candidates")
+        print(f"{name}: {seen.get['rows']} matches")
     elif a.command == "search-monitor":
         tables.run_listing(spark.read.parquet(a.out)).show(1000, False)
     return 0

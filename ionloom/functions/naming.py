@@ -18,6 +18,11 @@ def sanitize_path(c: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(c, "^\\s+|\\s+$", ""), "[\\s/\\x00]+", "_")
 
 
+def url_decoded(c: Column) -> Column:
+    """Percent escapes decoded; a plus sign stays one."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def fasta_entry(sequence: Column, index: Column, target: bool) -> Column:
     """Header and the sequence in lines of 60 residues, with a closing newline."""
     prefix, name = (TARGET_PREFIX, TARGET_NAME) if target else (DECOY_PREFIX, DECOY_NAME)

@@ -16,11 +16,10 @@ from dataclasses import dataclass
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ionloom.constants import RESIDUES, WATER, mass_int
+from ionloom.constants import WATER, mass_int
+from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 
 _MISSED = re.compile("(?<=[KR])(?!(P|$))")
-_PARTS = {a: mass_int(m) for a, m in RESIDUES.items()}
-_NAMES = sorted(_PARTS)
 
 
 @dataclass(frozen=True)
@@ -36,13 +35,14 @@ def acceptable(sequence: str, mass: int, lo: int, hi: int, rules: DecoyRules) ->
     return lo <= mass <= hi and rules.shortest <= len(sequence) <= rules.longest and len(_MISSED.findall(sequence)) <= rules.missed_cleavages
 
 
-def decoy(target: int, lo: int, hi: int, rng: random.Random, rules: DecoyRules = DecoyRules(), terminal_delta: int = 0) -> str | None:
-    """One decoy, or None if no attempt succeeds."""
-    parts, names = _PARTS, _NAMES
+def decoy(target: int, lo: int, hi: int, rng: random.Random, rules: DecoyRules = DecoyRules(), mods: StaticModifications = UNMODIFIED) -> str | None:
+    """One decoy, or None if no attempt succeeds; its mass includes the static modifications."""
+    parts = mods.masses()
+    names, ends = sorted(parts), mass_int(WATER) + mods.n_bond + mods.c_bond
     for _ in range(rules.attempts):
         slot = rng.randrange(11)
         seq = [rng.choice(names) if slot == 0 else "K" if slot <= 5 else "R"]
-        mass = mass_int(WATER) + terminal_delta + parts[seq[0]]
+        mass = ends + parts[seq[0]]
         while mass < hi:
             seq.insert(0, rng.choice(names))
             mass += parts[seq[0]]
@@ -59,26 +59,24 @@ def decoy(target: int, lo: int, hi: int, rng: random.Random, rules: DecoyRules =
     return None
 
 
-class Decoys:
-    """Rows (nr, sequence) of ``n`` decoys for one precursor; stops at the first failure."""
+def register(spark: SparkSession, mods: StaticModifications = UNMODIFIED) -> None:
+    """The table function ``decoys(seed, target, lo, hi, n)`` for SQL: rows (nr, sequence), up to the first failure."""
 
-    def eval(self, seed: int, target: int, lo: int, hi: int, n: int) -> Iterator[tuple[int, str]]:
-        rng = random.Random(seed)
-        for nr in range(n or 0):
-            got = decoy(target, lo, hi, rng)
-            if got is None:
-                return
-            yield nr, got
+    class Decoys:
+        def eval(self, seed: int, target: int, lo: int, hi: int, n: int) -> Iterator[tuple[int, str]]:
+            rng = random.Random(seed)
+            for nr in range(n or 0):
+                got = decoy(target, lo, hi, rng, mods=mods)
+                if got is None:
+                    return
+                yield nr, got
 
-
-def register(spark: SparkSession) -> None:
-    """The table function ``decoys(seed, target, lo, hi, n)`` for SQL."""
     spark.udtf.register("decoys", F.udtf(Decoys, returnType="nr int, sequence string"))
 
 
-def generate(precursors, key: str, per_precursor: int, seed: int = 0):
+def generate(precursors, key: str, per_precursor: int, seed: int = 0, mods: StaticModifications = UNMODIFIED):
     """key, nr and sequence of decoys for every precursor with integer mass, lo and hi."""
     spark = precursors.sparkSession
-    register(spark)
+    register(spark, mods)
     rows = precursors.select(key, F.xxhash64(F.col(key).cast("string"), F.lit(seed)).alias("seed"), "mass_int", "lo", "hi")
     return spark.sql(f"SELECT {key}, nr, sequence FROM {{rows}}, LATERAL decoys(seed, mass_int, lo, hi, {int(per_precursor)})", rows=rows)

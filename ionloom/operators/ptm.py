@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,6 +12,37 @@ from ionloom.constants import RESIDUES, mass_int
 PTM_SCHEMA = "amino_acid string, mass_delta double, mod_type string, position string"
 
 
+@dataclass(frozen=True)
+class StaticModifications:
+    """Integer mass deltas that every peptide carries: of residues anywhere, and of the two terminal bonds."""
+
+    residues: tuple[tuple[str, int], ...] = ()
+    n_bond: int = 0
+    c_bond: int = 0
+
+    def delta(self, residue: str) -> int:
+        return dict(self.residues).get(residue, 0)
+
+    def masses(self) -> dict[str, int]:
+        """Integer masses of all residues with their deltas."""
+        return {a: mass_int(m) + self.delta(a) for a, m in RESIDUES.items()}
+
+
+UNMODIFIED = StaticModifications()
+
+
+def static_modifications(ptms: DataFrame) -> StaticModifications:
+    """What a search applies, from a table with one row a residue and position; of several deltas of a bond the first counts.
+
+    Variable modifications and those of a residue at a terminus aren't searched and are refused.
+    """
+    rows = ptms.collect()
+    if odd := [r for r in rows if r.mod_type != "Static" or r.position not in ("Anywhere", "Bond_N", "Bond_C")]:
+        raise ValueError(f"only static modifications anywhere or of a bond are searched: {odd[0]}")
+    bond = lambda at: next((mass_int(r.mass_delta) for r in rows if r.position == at), 0)
+    return StaticModifications(tuple(sorted((r.amino_acid, mass_int(r.mass_delta)) for r in rows if r.position == "Anywhere")), bond("Bond_N"), bond("Bond_C"))
+
+
 def residue_table(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([(a, mass_int(m)) for a, m in RESIDUES.items()], "residue string, mass long")
 

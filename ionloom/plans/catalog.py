@@ -355,8 +355,8 @@ def peak_window_normalise(spark: SparkSession, d: str) -> DataFrame:
     return _heights(spark, d).select("scan", "bin", F.round("y", 6).alias("y"))
 
 
-def _ions_sql(source: str, key: str) -> str:
-    masses = "MAP {" + ", ".join(f"'{a}': {mass_int(m)}" for a, m in RESIDUES.items()) + "}"
+def _ions_sql(source: str, key: str, mods: ptm.StaticModifications = ptm.UNMODIFIED) -> str:
+    masses = "MAP {" + ", ".join(f"'{a}': {mass_int(m) + mods.delta(a)}" for a, m in RESIDUES.items()) + "}"
     rows = f"SELECT {key}, place, {masses}[sequence[place]] AS m, length(sequence) AS n FROM (SELECT {key}, sequence, unnest(range(1, length(sequence) + 1)) AS place FROM ({source}))"
     return (
         f"SELECT {key}, place, n, CAST(sum(coalesce(m, 0)) OVER (PARTITION BY {key} ORDER BY place) AS BIGINT) AS prefix, CAST(sum(coalesce(m, 0)) OVER (PARTITION BY {key}) AS BIGINT) AS whole FROM ({rows})"
@@ -443,9 +443,46 @@ def loop_score(spark: SparkSession, d: str) -> DataFrame:
     return _loop(spark, d).select("vec_id", F.round("loop_score", 6).alias("loop_score"))
 
 
+# static modifications in masses, ions and decoys
+
+MODS = ptm.StaticModifications((("C", 57_021_464), ("M", 15_994_915)), 42_010_565, -984_016)
+_MODIFIED = f"({_MASS}) + {MODS.n_bond + MODS.c_bond} + " + " + ".join(f"(length(sequence) - length(replace(sequence, '{a}', ''))) * {m}" for a, m in MODS.residues)
+_MODIFIED_IONS = _ions_sql(V.PEPTIDES.replace("AS sequence", "AS sequence, upper(w) AS key"), "key", MODS)
+
+
+@query(f"SELECT sequence, {_MODIFIED} AS mass FROM ({V.PEPTIDES})")
+def modified_mass(spark: SparkSession, d: str) -> DataFrame:
+    return V.peptides(spark, d).select("sequence", sequence.sequence_mass(F.col("sequence"), MODS).alias("mass"))
+
+
+@query(
+    f"SELECT key AS sequence, 'B' AS kind, CAST(place AS BIGINT) AS number, round((prefix + {MODS.n_bond}) / {SCALE} + {PROTON}, 5) AS mz FROM ({_MODIFIED_IONS}) WHERE place < n "
+    f"UNION ALL SELECT key, 'Y', CAST(n - place AS BIGINT), round((whole - prefix + {mass_int(WATER) + MODS.c_bond}) / {SCALE} + {PROTON}, 5) FROM ({_MODIFIED_IONS}) WHERE place < n"
+)
+def modified_ions(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.peptides(spark, d).withColumn("key", F.col("sequence"))
+    return fragments.ions(rows, "key", mods=MODS).select(F.col("key").alias("sequence"), "kind", "number", F.round("mz", 5).alias("mz"))
+
+
+@query(f"SELECT sequence, replace(replace(sequence, 'C', 'C[s57021464]'), 'M', 'M[s15994915]') AS annotated FROM ({V.PEPTIDES})")
+def annotated_sequence(spark: SparkSession, d: str) -> DataFrame:
+    return V.peptides(spark, d).select("sequence", sequence.annotated(F.col("sequence"), MODS).alias("annotated"))
+
+
 # progress, metrics, errors
 
 
+@query("SELECT event_type || '_' || CAST(user_id AS VARCHAR) AS counter, count(*) AS n FROM events GROUP BY 1")
+def event_counters(spark: SparkSession, d: str) -> DataFrame:
+    return runner.event_counters(V.table(spark, d, "events"), "event_type", "user_id")
+
+
+@query("SELECT event_id, 'controllerType=0 scan=' || CAST(event_id AS VARCHAR) || '+' AS spectrum_id FROM events")
+def url_decoded_ids(spark: SparkSession, d: str) -> DataFrame:
+    escaped = F.concat(F.lit("controllerType%3D0%20scan%3D"), F.col("event_id").cast("string"), F.lit("+"))
+    return V.table(spark, d, "events").select("event_id", naming.url_decoded(escaped).alias("spectrum_id"))
+
+
 def _spectra(spark: SparkSession, d: str) -> DataFrame:
     return V.table(spark, d, "lineitem").select((F.col("l_suppkey") % 10).alias("uuid"), F.col("l_linenumber").alias("ms_run"), F.col("l_orderkey").alias("spectrum_id"), (F.col("l_linestatus") == "F").alias("done"))
 

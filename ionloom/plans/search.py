@@ -9,6 +9,7 @@ from ionloom.functions.sequence import sequence_mass
 from ionloom.operators import candidates as C
 from ionloom.operators import decoys as D
 from ionloom.operators import features, fragments, loop, precursors, xcorr
+from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 from ionloom.params import SearchParams
 
 SCAN = ["uuid", "ms_run", "spectrum_id", "precursor_no"]
@@ -34,30 +35,40 @@ def spectrum_errors(spectra: DataFrame) -> DataFrame:
     return whole.unionAll(each.withColumn("error", bad).where("error is not null"))
 
 
-def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0) -> DataFrame:
-    """scan, peptide, theoretical mass and is_target: library peptides in the window and decoys that are no targets."""
+def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None) -> DataFrame:
+    """scan, peptide, theoretical mass and is_target: library peptides in the window and decoys that are no targets.
+
+    Masses include the static modifications.  Known decoys (``cached``: sequence) come first; new ones fill a scan up after the
+    targets among both are gone, which is why some more are made than needed.
+    """
     width = C.bin_width(max_mass, p.lower_mass_tolerance_ppm, p.upper_mass_tolerance_ppm)
     keys = rows.select("scan", "mass_int", "lo", "hi")
-    targets = C.mass_window_join(keys, library.select(F.col("sequence").alias("peptide"), F.col("mass").alias("library_mass")), width).select("scan", "peptide", "library_mass")
+    targets = C.mass_window_join(keys, library.select(F.col("sequence").alias("peptide"), (F.col("mass") if mods == UNMODIFIED else sequence_mass(F.col("sequence"), mods)).alias("library_mass")), width).select("scan", "peptide", "library_mass")
     if not p.decoys_per_peptide:
         return targets.withColumn("is_target", F.lit(True))
     needed = targets.groupBy("scan").agg((F.count(F.lit(1)) * p.decoys_per_peptide).alias("needed"))
-    wanted = keys.join(needed, "scan").select("scan", F.xxhash64("scan", F.lit(seed)).alias("seed"), "mass_int", "lo", "hi", "needed")
-    D.register(rows.sparkSession)
-    made = rows.sparkSession.sql("SELECT scan, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(needed AS INT))", wanted=wanted)
-    made = C.without_targets(made, library)
-    made = made.select("scan", F.col("sequence").alias("peptide"), sequence_mass(F.col("sequence")).alias("library_mass"))
-    return C.union_candidates(targets, made)
+    wanted = keys.join(needed, "scan").select("scan", F.xxhash64("scan", F.lit(seed)).alias("seed"), "mass_int", "lo", "hi", (F.col("needed") + F.ceil(F.col("needed") / 10) + 5).alias("asked"))
+    D.register(rows.sparkSession, mods)
+    made = rows.sparkSession.sql("SELECT scan, nr, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(asked AS INT))", wanted=wanted)
+    made = C.without_targets(made, library).select("scan", "nr", F.col("sequence").alias("peptide"), sequence_mass(F.col("sequence"), mods).alias("library_mass"))
+    known = made.limit(0)
+    if cached is not None:
+        known = C.without_targets(cached, library).select(F.lit(0).alias("nr"), F.col("sequence").alias("peptide"), sequence_mass(F.col("sequence"), mods).alias("library_mass"))
+        known = C.mass_window_join(keys, known, width).select("scan", "nr", "peptide", "library_mass")
+    filled = C.top_up(known, made, needed, ["scan"], ["nr", "peptide"])
+    return C.union_candidates(targets, filled.select("scan", "peptide", "library_mass"))
 
 
-def match_rows(rows: DataFrame, candidates: DataFrame, p: SearchParams) -> DataFrame:
+def match_rows(rows: DataFrame, candidates: DataFrame, p: SearchParams, mods: StaticModifications = UNMODIFIED) -> DataFrame:
     """One row for each scan and candidate with xcorr, ion counts and features."""
     x = p.xcorr
+    if x.use_neutral_loss_ions:
+        raise ValueError("neutral-loss ions aren't scored")
     peaks = rows.select("scan", F.explode(F.arrays_zip("mz", "intensity")).alias("k")).select("scan", "k.*")
     heights = xcorr.normalised(xcorr.binned(peaks, x), x)
     pairs = candidates.select("scan", "peptide").distinct()
     peptides = pairs.select(F.col("peptide").alias("sequence")).distinct()
-    ions = fragments.ions(peptides.withColumn("key", F.col("sequence")), "key", x.ions, x.max_fragment_charge)
+    ions = fragments.ions(peptides.withColumn("key", F.col("sequence")), "key", x.ions, x.max_fragment_charge, mods=mods)
     ions = ions.select(F.col("key").alias("peptide"), "kind", "number", F.col("charge").alias("ion_charge"), xcorr.bin_of(F.col("mz"), x).alias("bin"))
     limits = rows.select("scan", F.greatest(F.least(F.col("charge") - 1, F.lit(x.max_fragment_charge)), F.lit(1)).alias("top"))
     bins = pairs.join(limits, "scan").join(ions, "peptide").where("ion_charge <= top").select("scan", "peptide", "bin")
@@ -67,8 +78,8 @@ def match_rows(rows: DataFrame, candidates: DataFrame, p: SearchParams) -> DataF
     return features.with_features(features.above_threshold(out, p.score_threshold))
 
 
-def search(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0) -> DataFrame:
+def search(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None) -> DataFrame:
     """Scored matches of all spectra; ``max_mass`` bounds the integer masses of precursors."""
     rows = precursor_rows(spectra, p)
-    psms = match_rows(rows, candidate_rows(rows, library, p, max_mass, seed), p)
+    psms = match_rows(rows, candidate_rows(rows, library, p, max_mass, seed, mods, cached), p, mods)
     return loop.with_loop(psms, SCAN, ["xcorr", "ions_matched_ratio", "mass_error"], ["peptide"])

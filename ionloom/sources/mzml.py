@@ -90,13 +90,20 @@ def read_spectra(spark: SparkSession, path: str, uuid: str) -> DataFrame:
     return _files(spark, path).mapInPandas(run, SPECTRUM_SCHEMA)
 
 
-def spectrum_index(spark: SparkSession, path: str) -> DataFrame:
-    """ms_run, spectrum_id and byte offset of every spectrum."""
+def _level(spectrum: bytes) -> int | None:
+    """MS level of a spectrum element, null where it has none."""
+    found = re.search(rb"<cvParam\b[^>]*\b" + MS_LEVEL.encode() + rb"\b[^>]*>", spectrum)
+    value = found and re.search(rb"\bvalue=\"([^\"]*)\"", found[0])
+    return _number(int, value[1].decode()) if value else None
+
+
+def spectrum_index(spark: SparkSession, path: str, without_ms2: bool = False) -> DataFrame:
+    """ms_run, spectrum_id and byte offset of every spectrum, or of those whose MS level isn't 2."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             for ms_run, content in zip(part["ms_run"], part["content"], strict=True):
-                found = [(ms_run, m[1].decode(), m.start()) for m in _SPECTRUM.finditer(content)]
+                found = [(ms_run, m[1].decode(), m.start()) for m in _SPECTRUM.finditer(content) if not (without_ms2 and _level(m[0]) == 2)]
                 yield pd.DataFrame(found, columns=["ms_run", "spectrum_id", "offset"])
 
     return _files(spark, path).mapInPandas(run, "ms_run string, spectrum_id string, offset long")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -32,6 +32,17 @@ def progress(spectra: DataFrame, finished: DataFrame, enqueued: DataFrame) -> Da
     return out.withColumn("is_finished", F.col("enqueued") & (F.col("total") == F.col("finished")))
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+    """``df`` and its number of rows, which is known as soon as an action has run over it."""
+    seen = Observation(name)
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def event_counters(events: DataFrame, prefix: str, key: str) -> DataFrame:
+    """Events of each counter, named {prefix}_{key}."""
+    return events.groupBy(F.concat(F.col(prefix).cast("string"), F.lit("_"), F.col(key).cast("string")).alias("counter")).agg(F.count(F.lit(1)).alias("n"))
+
+
 def live_flags(events: DataFrame, idle: str, now) -> DataFrame:
     """Flags whose last sign of life is at most ``idle`` (an interval) before ``now``."""
     return events.groupBy("key").agg(F.max("at").alias("last")).where(F.col("last") >= now - F.expr(f"interval {idle}"))

@@ -24,6 +24,7 @@ def test_later_batch_keeps_earlier_matches(spark, tmp_path):
     assert {(r.batch, r.spectrum_id) for r in found.collect()} == {(0, "scan=2"), (1, "scan=3")}
     # a repeated batch replaces its own rows only
     n = found.count()
-    again = found.where("batch = 1").drop("batch").localCheckpoint()
+    found.where("batch = 1").drop("batch").write.parquet(str(tmp_path / "copy"))
+    again = spark.read.parquet(str(tmp_path / "copy"))
     sinks.write_psms(again, str(tmp_path / "out"), batch=1)
     assert spark.read.parquet(str(tmp_path / "out")).count() == n
