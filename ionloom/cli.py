@@ -59,9 +59,14 @@ def main(argv: list[str] | None = None) -> int:
         x.add_argument("--decoys", help="known decoys, as append_decoys writes them")
         x.add_argument("--params")
         x.add_argument("--max-dalton", type=int, default=10_000)
+        if name == "remote-run":
+            x.add_argument("--format", choices=("parquet", "mzml"), default="parquet", help="files of the folder; mzml needs --uuid")
+            x.add_argument("--follow", action="store_true", help="keep running and search files as they arrive, instead of ending when all are searched")
     x = sub.add_parser("search-monitor")
     x.add_argument("out")
     a = p.parse_args(argv)
+    if a.command == "remote-run" and a.format == "mzml" and not a.uuid:
+        p.error("--format mzml needs --uuid: a stream that is taken up again keeps the name of its search")
     if a.command == "version":
         print(VERSION)
         return 0
@@ -92,7 +97,8 @@ def main(argv: list[str] | None = None) -> int:
         known = sinks.read_decoys(spark, a.decoys) if a.decoys else None
         if a.command == "remote-run":
             step = lambda df: search(df, library, sp, most, mods=mods, cached=known)
-            runner.run_stream(runner.watch_spectra(spark, a.spectra), step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint").awaitTermination()
+            arriving = mzml.watch_spectra(spark, a.spectra, name) if a.format == "mzml" else runner.watch_spectra(spark, a.spectra)
+            runner.run_stream(arriving, step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint", once=not a.follow).awaitTermination()
             return 0
         spectra = mzml.read_spectra(spark, a.spectra, name)
         found, seen = runner.observed(search(spectra, library, sp, most, mods=mods, cached=known), "matches")
