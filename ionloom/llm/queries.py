@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ionloom.llm import chat_format
+from ionloom.llm import chat_format, quality_rules, token_counts
 from ionloom.llm.chat_format import op6_chat_format
 from ionloom.llm.decontaminate import op4_decontamination
 from ionloom.llm.language_id import op1_language_id
@@ -25,8 +25,12 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_toxicity": op9_toxicity,
     "op10_suffix_dedup": op10_suffix_dedup,
+    "rules_base_columns": quality_rules.rules_base_columns,
+    "pretoken_counts": token_counts.pretoken_counts,
 }
 
 ORACLES: dict[str, str] = {
     "op6_chat_format": chat_format.ORACLE,
+    "rules_base_columns": quality_rules.BASE_ORACLE,
+    "pretoken_counts": token_counts.PRETOKEN_ORACLE,
 }

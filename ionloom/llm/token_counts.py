@@ -156,3 +156,13 @@ def count_tokens(docs: DataFrame, params: TokenCountParams = TokenCountParams(),
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(table(spark, sf_dir, "documents"))
+
+
+def pretoken_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pre-tokens of each document, as ``op8_token_counts`` counts them."""
+    return count_tokens(table(spark, sf_dir, "documents")).select("doc_id", "n_pretokens")
+
+
+PRETOKEN_ORACLE = """
+SELECT doc_id, CAST(CASE WHEN text = '' THEN 0 ELSE len(regexp_extract_all(' ' || text, ' +[^ ]*')) END AS BIGINT) AS n_pretokens FROM documents
+"""
