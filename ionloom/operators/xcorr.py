@@ -1,7 +1,7 @@
 """Cross-correlation of binned peaks and theoretical ions as relational steps (Eng 1994, 2008, 2013).
 
-Every step is keyed by scan, so a search shuffles by scan once: binned peaks, their normalised heights, the background by a
-range window over bins, and the sum over each candidate's ion bins.
+Steps: binned peaks, their normalised heights, the background by a range window over bins, and the sum over each candidate's ion
+bins.  All are keyed by scan, but with the bin, the part or the peptide beside it in some, so a search shuffles several times.
 """
 
 from __future__ import annotations
