@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import argparse
+import time
 from uuid import uuid4
 
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from ionloom import constants
 from ionloom.functions.sequence import missed_cleavages, sequence_mass
 from ionloom.operators import candidates as C
-from ionloom.operators import ptm
+from ionloom.operators import ptm, variable
 from ionloom.operators.precursors import with_bounds
 from ionloom.params import SearchParams
-from ionloom.plans.search import SCAN, candidate_rows, precursor_rows, search, spectrum_errors
+from ionloom.plans.search import SCAN, Found, find
 from ionloom.session import session
 from ionloom.sources import mzml, sinks, tables
 from ionloom.streaming import runner
@@ -28,6 +30,32 @@ def _params(path: str | None) -> SearchParams:
         return SearchParams.from_toml(f.read())
 
 
+def store(spark: SparkSession, found: Found, out: str, sp: SearchParams, name: str, batch: int | None = None, decoys: str | None = None) -> int:
+    """Everything that a search leaves, from tables written once; a repeated run or batch replaces what it left before.
+
+    Matches and candidates lie by search and run.  Errors, metrics, times and searched spectra lie by batch, that of a search which is no stream being
+    its name.  New decoys join the known ones at ``decoys``.  Returns the number of matches.
+    """
+    of = name if batch is None else batch
+    matches, seen = runner.observed(found.matches, f"matches {of}")
+    began = time.monotonic()
+    sinks.write_psms(matches, out, batch=batch)
+    seconds = {**found.seconds, "identification": time.monotonic() - began}
+    space = found.space.candidates.join(found.rows.select("scan", *SCAN), "scan")
+    sizes = C.size_metric(space, SCAN)
+    sinks.replace_batch(sinks.metrics_long(sizes, SCAN, {"size": F.col("size"), "len": F.col("len")}), out + ".metrics", of)
+    if sp.keep_fasta_files:
+        sinks.write_candidates(space, out + ".candidates", batch)
+    sinks.write_errors(found.errors, out + ".errors", of)
+    if decoys and found.space.new_decoys is not None:
+        sinks.append_decoys(found.space.new_decoys, decoys)
+    sinks.replace_batch(found.rows.select("uuid", "ms_run", "spectrum_id").distinct(), out + ".finished", of)
+    times = spark.createDataFrame([(k, v * 1000) for k, v in seconds.items()], "stage string, ms double")
+    sinks.replace_batch(times, out + ".times", of)
+    found.discard()
+    return seen.get["rows"]
+
+
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="ionloom")
     sub = p.add_subparsers(dest="command", required=True)
@@ -46,17 +74,19 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("mzml")
     x.add_argument("out")
     x.add_argument("--without-ms2", action="store_true")
+    x.add_argument("--places", action="store_true", help="Parquet with offset and length of each spectrum, for extract-spectrum --index")
     x = sub.add_parser("extract-spectrum")
     x.add_argument("mzml")
     x.add_argument("spectrum_id")
+    x.add_argument("--index", help="index of the files with --places: only the spectrum is read")
     for name in ("local-run", "remote-run"):
         x = sub.add_parser(name, help="search mzML files" if name == "local-run" else "search spectra as they arrive in a folder")
         x.add_argument("spectra")
         x.add_argument("library")
         x.add_argument("out")
         x.add_argument("--uuid", help="name of the search; a new one by default")
-        x.add_argument("--ptms", help="CSV file of static modifications")
-        x.add_argument("--decoys", help="known decoys, as append_decoys writes them")
+        x.add_argument("--ptms", help="CSV file of static and variable modifications")
+        x.add_argument("--decoys", help="known decoys, as append_decoys writes them; new ones are added")
         x.add_argument("--params")
         x.add_argument("--max-dalton", type=int, default=10_000)
         if name == "remote-run":
@@ -85,34 +115,39 @@ def main(argv: list[str] | None = None) -> int:
         width = C.bin_width(a.mass * 2, sp.lower_mass_tolerance_ppm, sp.upper_mass_tolerance_ppm)
         found = C.mass_window_join(rows, tables.read_library(spark, a.library, most, least), width, "mass").select("m", F.col("sequence").alias("peptide"), F.lit(True).alias("is_target"))
         sinks.write_fasta(found, a.out, ["m"], ["peptide"])
+    elif a.command == "index-spectrum-file" and a.places:
+        mzml.write_places(mzml.spectrum_places(spark, a.mzml, a.without_ms2), a.out)
     elif a.command == "index-spectrum-file":
         mzml.index_json(mzml.spectrum_index(spark, a.mzml, a.without_ms2)).write.mode("overwrite").json(a.out)
     elif a.command == "extract-spectrum":
-        for r in mzml.extract_spectrum(spark, a.mzml, a.spectrum_id).limit(1).collect():
+        if a.index:
+            found = mzml.extract_places(spark.read.parquet(a.index).where(F.col("spectrum_id") == a.spectrum_id).limit(1))
+        else:
+            found = mzml.extract_spectrum(spark, a.mzml, a.spectrum_id).limit(1)
+        for r in found.collect():
             print(r.mzml, end="")
     elif a.command in ("local-run", "remote-run"):
         sp, most, name = _params(a.params), a.max_dalton * constants.SCALE, a.uuid or str(uuid4())
         library = tables.read_library(spark, a.library)
-        mods = ptm.static_modifications(tables.read_ptms(spark, a.ptms)) if a.ptms else ptm.UNMODIFIED
-        known = sinks.read_decoys(spark, a.decoys) if a.decoys else None
+        mods, moving = ptm.UNMODIFIED, ()
+        if a.ptms:
+            ptms = tables.read_ptms(spark, a.ptms)
+            mods, moving = ptm.static_modifications(ptms.where("mod_type <> 'Variable'")), variable.variable_modifications(ptms)
+        known = lambda: sinks.read_decoys(spark, a.decoys) if a.decoys and sinks.exists(spark, a.decoys) else None
+        step = lambda df: find(df, library, sp, most, mods=mods, cached=known(), variable=moving)
         if a.command == "remote-run":
-            step = lambda df: search(df, library, sp, most, mods=mods, cached=known)
             arriving = mzml.watch_spectra(spark, a.spectra, name) if a.format == "mzml" else runner.watch_spectra(spark, a.spectra)
-            runner.run_stream(arriving, step, lambda df, n: sinks.write_psms(df, a.out, batch=n), a.out + ".checkpoint", once=not a.follow).awaitTermination()
+            listener = runner.Progress(lambda row: print(f"batch {row['batch']}: {row['rows']} rows in {row['ms']} ms", flush=True)) if a.follow else None
+            if listener:
+                spark.streams.addListener(listener)
+            runner.run_stream(arriving, step, lambda found, n: store(spark, found, a.out, sp, name, n, a.decoys), a.out + ".checkpoint", once=not a.follow).awaitTermination()
             return 0
-        spectra = mzml.read_spectra(spark, a.spectra, name)
-        found, seen = runner.observed(search(spectra, library, sp, most, mods=mods, cached=known), "matches")
-        sinks.write_psms(found, a.out)
-        sinks.append_errors(spectrum_errors(spectra), a.out + ".errors")
-        rows = precursor_rows(spectra, sp)
-        space = candidate_rows(rows, library, sp, most, mods=mods, cached=known).join(rows.select("scan", *SCAN), "scan")
-        sizes = C.size_metric(space, SCAN)
-        sinks.metrics_long(sizes, SCAN, {"size": F.col("size"), "len": F.col("len")}).write.mode("append").parquet(a.out + ".metrics")
-        if sp.keep_fasta_files:
-            sinks.write_candidates(space, a.out + ".candidates")
-        print(f"{name}: {seen.get['rows']} matches")
+        n = store(spark, step(mzml.read_spectra(spark, a.spectra, name)), a.out, sp, name, None, a.decoys)
+        print(f"{name}: {n} matches")
     elif a.command == "search-monitor":
         tables.run_listing(spark.read.parquet(a.out)).show(1000, False)
+        if sinks.exists(spark, a.out + ".finished"):
+            runner.finished_counts(spark, a.out + ".finished").show(1000, False)
     return 0
 
 

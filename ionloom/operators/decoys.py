@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from ionloom.constants import WATER, mass_int
 from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 
+#: Failed decoys in a row after which the table function gives up.
+FAILURES = 3
 _MISSED = re.compile("(?<=[KR])(?!(P|$))")
 
 
@@ -35,23 +37,34 @@ def acceptable(sequence: str, mass: int, lo: int, hi: int, rules: DecoyRules) ->
     return lo <= mass <= hi and rules.shortest <= len(sequence) <= rules.longest and len(_MISSED.findall(sequence)) <= rules.missed_cleavages
 
 
-def decoy(target: int, lo: int, hi: int, rng: random.Random, rules: DecoyRules = DecoyRules(), mods: StaticModifications = UNMODIFIED) -> str | None:
-    """One decoy, or None if no attempt succeeds; its mass includes the static modifications."""
+def decoy(target: int, lo: int, hi: int, rng: random.Random, rules: DecoyRules = DecoyRules(), mods: StaticModifications = UNMODIFIED, needs: str = "", first: str = "", last: str = "") -> str | None:
+    """One decoy, or None if no attempt succeeds; its mass includes the static modifications.
+
+    ``needs`` are residues that it must have somewhere, ``first`` and ``last`` those of its ends: places for variable modifications, whose mass the
+    caller takes off the target.
+    """
     parts = mods.masses()
     names, ends = sorted(parts), mass_int(WATER) + mods.n_bond + mods.c_bond
+    fixed = len(needs) + len(first)
     for _ in range(rules.attempts):
         slot = rng.randrange(11)
-        seq = [rng.choice(names) if slot == 0 else "K" if slot <= 5 else "R"]
-        mass = ends + parts[seq[0]]
+        seq = [*first, *needs, last or (rng.choice(names) if slot == 0 else "K" if slot <= 5 else "R")]
+        mass = ends + sum(parts[a] for a in seq)
         while mass < hi:
-            seq.insert(0, rng.choice(names))
-            mass += parts[seq[0]]
+            seq.insert(fixed, rng.choice(names))
+            mass += parts[seq[fixed]]
         for _ in range(rules.rounds):
-            if lo <= mass <= hi and acceptable("".join(seq), mass, lo, hi, rules):
-                return "".join(seq)
-            if len(seq) < 2:
+            if lo <= mass <= hi:
+                whole = seq
+                if needs:
+                    body = seq[len(first) : -1]
+                    rng.shuffle(body)
+                    whole = [*first, *body, seq[-1]]
+                if acceptable("".join(whole), mass, lo, hi, rules):
+                    return "".join(whole)
+            if len(seq) < 2 + fixed:
                 break
-            at = rng.randrange(len(seq) - 1)
+            at = fixed + rng.randrange(len(seq) - 1 - fixed)
             need = target - mass + parts[seq[at]]
             new = min((a for a in names if a != seq[at]), key=lambda a: (abs(parts[a] - need), a))
             mass += parts[new] - parts[seq[at]]
@@ -60,16 +73,21 @@ def decoy(target: int, lo: int, hi: int, rng: random.Random, rules: DecoyRules =
 
 
 def register(spark: SparkSession, mods: StaticModifications = UNMODIFIED) -> None:
-    """The table function ``decoys(seed, target, lo, hi, n)`` for SQL: rows (nr, sequence), up to the first failure."""
+    """The table function ``decoys(seed, target, lo, hi, n[, needs, first, last])`` for SQL: rows (nr, sequence).
+
+    It gives up after ``FAILURES`` failures in a row, as most such masses have no decoy; who needs all asks again with another seed.
+    """
 
     class Decoys:
-        def eval(self, seed: int, target: int, lo: int, hi: int, n: int) -> Iterator[tuple[int, str]]:
-            rng = random.Random(seed)
+        def eval(self, seed: int, target: int, lo: int, hi: int, n: int, needs: str = "", first: str = "", last: str = "") -> Iterator[tuple[int, str]]:
+            rng, failed = random.Random(seed), 0
             for nr in range(n or 0):
-                got = decoy(target, lo, hi, rng, mods=mods)
-                if got is None:
+                got = decoy(target, lo, hi, rng, mods=mods, needs=needs, first=first, last=last)
+                failed = failed + 1 if got is None else 0
+                if failed == FAILURES:
                     return
-                yield nr, got
+                if got is not None:
+                    yield nr, got
 
     spark.udtf.register("decoys", F.udtf(Decoys, returnType="nr int, sequence string"))
 

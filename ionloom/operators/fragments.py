@@ -7,20 +7,26 @@ from pyspark.sql import functions as F
 
 from ionloom.constants import PROTON, SCALE, WATER, mass_int
 from ionloom.operators.ptm import UNMODIFIED, StaticModifications
+from ionloom.operators.variable import plain, token_delta, tokens
 
 
-def residue_rows(peptides: DataFrame, key: str, sequence: str = "sequence", mods: StaticModifications = UNMODIFIED) -> DataFrame:
-    """One row a residue: key, place (from 1), integer mass, and the masses of all residues up to it and of the whole."""
+def residue_rows(peptides: DataFrame, key: str, sequence: str = "sequence", mods: StaticModifications = UNMODIFIED, marked: bool = False) -> DataFrame:
+    """One row a residue: key, place (from 1), integer mass, and the masses of all residues up to it and of the whole.
+
+    With ``marked`` the sequences are forms whose marks add to their residue; a bond's mark adds to the residue at that end.
+    """
     masses = F.create_map(*(x for a, m in mods.masses().items() for x in (F.lit(a), F.lit(m).cast("long"))))
-    rows = peptides.select(key, F.posexplode(F.split(sequence, "")).alias("i", "residue")).where("residue <> ''")
-    rows = rows.select(key, (F.col("i") + 1).alias("place"), F.coalesce(masses[F.col("residue")], F.lit(0).cast("long")).alias("m"))
+    rows = peptides.select(key, F.posexplode(tokens(F.col(sequence)) if marked else F.split(sequence, "")).alias("i", "residue")).where("residue <> ''")
+    extra = token_delta(F.col("residue")) if marked else F.lit(0).cast("long")
+    letter = plain(F.col("residue")) if marked else F.col("residue")
+    rows = rows.select(key, (F.col("i") + 1).alias("place"), (F.coalesce(masses[letter], F.lit(0).cast("long")) + extra).alias("m"))
     w = Window.partitionBy(key).orderBy("place")
     return rows.withColumns({"prefix": F.sum("m").over(w.rowsBetween(Window.unboundedPreceding, 0)), "whole": F.sum("m").over(Window.partitionBy(key)), "n": F.count(F.lit(1)).over(Window.partitionBy(key))})
 
 
-def ions(peptides: DataFrame, key: str, kinds: tuple[str, ...] = ("B", "Y"), max_charge: int = 1, sequence: str = "sequence", mods: StaticModifications = UNMODIFIED) -> DataFrame:
+def ions(peptides: DataFrame, key: str, kinds: tuple[str, ...] = ("B", "Y"), max_charge: int = 1, sequence: str = "sequence", mods: StaticModifications = UNMODIFIED, marked: bool = False) -> DataFrame:
     """key, kind, number, charge and m/z of all ions; a b ion is a proper prefix, a y ion a proper suffix with one water; each has its bond's delta."""
-    rows = residue_rows(peptides, key, sequence, mods).where("place < n")
+    rows = residue_rows(peptides, key, sequence, mods, marked).where("place < n")
     both = {"B": (F.col("place"), F.col("prefix") + mods.n_bond), "Y": (F.col("n") - F.col("place"), F.col("whole") - F.col("prefix") + mass_int(WATER) + mods.c_bond)}
     each = F.array(*(F.struct(F.lit(k).alias("kind"), both[k][0].cast("long").alias("number"), both[k][1].alias("mass")) for k in kinds))
     rows = rows.select(key, F.explode(each).alias("x")).select(key, "x.*")

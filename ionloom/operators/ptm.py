@@ -32,9 +32,9 @@ UNMODIFIED = StaticModifications()
 
 
 def static_modifications(ptms: DataFrame) -> StaticModifications:
-    """What a search applies, from a table with one row a residue and position; of several deltas of a bond the first counts.
+    """Static modifications from a table with one row a residue and position; of several deltas of a bond the first counts.
 
-    Variable modifications and those of a residue at a terminus aren't searched and are refused.
+    Variable modifications (``variable_modifications`` takes them) and static ones of a residue at a terminus are refused.
     """
     rows = ptms.collect()
     if odd := [r for r in rows if r.mod_type != "Static" or r.position not in ("Anywhere", "Bond_N", "Bond_C")]:

@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from ionloom.constants import PROTON, RESIDUES, SCALE, WATER, mass_int
 from ionloom.functions import naming, sequence
 from ionloom.operators import candidates as C
-from ionloom.operators import decoys, fdr, fragments, loop, ptm, xcorr
+from ionloom.operators import decoys, fdr, fragments, loop, ptm, scan_scores, variable, xcorr
 from ionloom.operators import features as FE
 from ionloom.operators import precursors as P
-from ionloom.params import XcorrParams
+from ionloom.params import SearchParams, XcorrParams
 from ionloom.plans import views as V
+from ionloom.plans.search import search_space
 from ionloom.session import written
 from ionloom.sources import sinks
 from ionloom.sources.tables import run_listing
@@ -253,9 +254,18 @@ def mass_partition(spark: SparkSession, d: str) -> DataFrame:
 _RESIDUES = "SELECT * FROM (VALUES " + ", ".join(f"('{a}', CAST({mass_int(m)} AS BIGINT))" for a, m in RESIDUES.items()) + ") t(residue, total)"
 
 
-@query(f"SELECT a.residue AS from_residue, b.residue AS to_residue, b.total - a.total AS distance FROM ({_RESIDUES}) a, ({_RESIDUES}) b")
+#: The residues that occur in the peptides of the library.
+_USED = f"SELECT * FROM ({_RESIDUES}) WHERE residue IN (SELECT DISTINCT unnest(string_split(peptide, '')) FROM ({V.LIBRARY}))"
+
+
+def _used(spark: SparkSession, d: str) -> DataFrame:
+    letters = V.library(spark, d).select(F.explode(F.split("peptide", "")).alias("residue")).distinct()
+    return ptm.residue_table(spark).join(letters, "residue", "left_semi")
+
+
+@query(f"SELECT a.residue AS from_residue, b.residue AS to_residue, b.total - a.total AS distance FROM ({_USED}) a, ({_USED}) b")
 def residue_mass_matrix(spark: SparkSession, d: str) -> DataFrame:
-    return ptm.distance_matrix(ptm.residue_table(spark).withColumnRenamed("mass", "total"))
+    return ptm.distance_matrix(_used(spark, d).withColumnRenamed("mass", "total"))
 
 
 _NEED = f"SELECT event_id, CAST(round(value * {SCALE}) AS BIGINT) AS need FROM events"
@@ -271,23 +281,23 @@ def nearest_residue(spark: SparkSession, d: str) -> DataFrame:
 PTMS = [("C", 57.021464, "Static", "Anywhere"), ("M", 15.994915, "Variable", "Anywhere"), ("K", 42.010565, "Static", "Terminus_N")]
 _PTMS = "SELECT * FROM (VALUES " + ", ".join(f"('{a}', CAST({m} AS DOUBLE), '{t}', '{p}')" for a, m, t, p in PTMS) + ") t(amino_acid, mass_delta, mod_type, position)"
 _ALPHABET = (
-    f"SELECT residue, total AS mass, CAST(0 AS BIGINT) AS delta, total FROM ({_RESIDUES}) WHERE residue NOT IN (SELECT amino_acid FROM ({_PTMS}) WHERE mod_type = 'Static') "
-    f"UNION ALL SELECT residue, total, CAST(round(mass_delta * {SCALE}) AS BIGINT), total + CAST(round(mass_delta * {SCALE}) AS BIGINT) FROM ({_RESIDUES}) JOIN ({_PTMS}) ON residue = amino_acid WHERE mod_type = 'Static' AND position = 'Anywhere'"
+    f"SELECT residue, total AS mass, CAST(0 AS BIGINT) AS delta, total FROM ({_USED}) WHERE residue NOT IN (SELECT amino_acid FROM ({_PTMS}) WHERE mod_type = 'Static') "
+    f"UNION ALL SELECT residue, total, CAST(round(mass_delta * {SCALE}) AS BIGINT), total + CAST(round(mass_delta * {SCALE}) AS BIGINT) FROM ({_USED}) JOIN ({_PTMS}) ON residue = amino_acid WHERE mod_type = 'Static' AND position = 'Anywhere'"
 )
 
 
-def _alphabet(spark: SparkSession) -> DataFrame:
-    return ptm.alphabet(ptm.residue_table(spark), spark.createDataFrame(PTMS, ptm.PTM_SCHEMA))
+def _alphabet(spark: SparkSession, d: str) -> DataFrame:
+    return ptm.alphabet(_used(spark, d), spark.createDataFrame(PTMS, ptm.PTM_SCHEMA))
 
 
 @query(_ALPHABET)
 def static_alphabet(spark: SparkSession, d: str) -> DataFrame:
-    return _alphabet(spark)
+    return _alphabet(spark, d)
 
 
 @query(f"SELECT residue, total FROM ({_ALPHABET}) WHERE residue IN ('K', 'R')")
 def cleavage_parts(spark: SparkSession, d: str) -> DataFrame:
-    return ptm.cleavage_parts(_alphabet(spark)).select("residue", "total")
+    return ptm.cleavage_parts(_alphabet(spark, d)).select("residue", "total")
 
 
 # names
@@ -403,11 +413,25 @@ def xcorr_background(spark: SparkSession, d: str) -> DataFrame:
     return xcorr.corrected(_heights(spark, d), _wanted(spark, d).select("scan", "bin").distinct(), BINS).select("scan", "bin", F.round("y", 6).alias("y"), F.round("fast", 6).alias("fast"))
 
 
-@query(f"SELECT scan, peptide, round(sum(fast) * 0.005, 6) AS xcorr, count(*) AS ions_total, count(*) FILTER (y > 0) AS ions_matched FROM ({_WANTED}) JOIN ({_FLANKED}) USING (scan, bin) GROUP BY scan, peptide")
+_XCORR = f"SELECT scan, peptide, round(sum(fast) * 0.005, 6) AS xcorr, count(*) AS ions_total, count(*) FILTER (y > 0) AS ions_matched FROM ({_WANTED}) JOIN ({_FLANKED}) USING (scan, bin) GROUP BY scan, peptide"
+
+
+@query(_XCORR)
 def xcorr_score(spark: SparkSession, d: str) -> DataFrame:
     return xcorr.scores(_heights(spark, d), _wanted(spark, d), BINS).select("scan", "peptide", F.round("xcorr", 6).alias("xcorr"), "ions_total", "ions_matched")
 
 
+@query(_XCORR)
+def scan_score(spark: SparkSession, d: str) -> DataFrame:
+    """The scores of ``xcorr_score`` as the search computes them, from one row a spectrum."""
+    spectra = V.peaks(spark, d).where("mz is not null and intensity is not null").groupBy("scan").agg(F.collect_list("mz").alias("mz"), F.collect_list("intensity").alias("intensity"))
+    none = {c: F.lit(None) for c in ("uuid", "ms_run", "spectrum_id", "precursor_no", "precursor_mz", "precursor_da")}
+    pairs = _pairs(spark, d).select(F.col("run").alias("scan"), "peptide").distinct().withColumns({"is_target": F.lit(True), "library_mass": F.lit(0)})
+    spectra = pairs.select("scan").distinct().join(spectra, "scan", "left")  # a run without peaks has scores as well
+    got = scan_scores.scored(spectra.withColumns({**none, "spectrum_id": F.col("scan").cast("string"), "charge": F.lit(2)}), pairs, BINS)
+    return got.select(F.col("spectrum_id").cast("long").alias("scan"), "peptide", F.round("xcorr", 6).alias("xcorr"), "ions_total", "ions_matched")
+
+
 # outlier probabilities
 
 K = 10
@@ -469,6 +493,87 @@ def annotated_sequence(spark: SparkSession, d: str) -> DataFrame:
     return V.peptides(spark, d).select("sequence", sequence.annotated(F.col("sequence"), MODS).alias("annotated"))
 
 
+# variable modifications: up to two of them on a peptide
+
+VARIABLE = (variable.VariableModification("M", 15_994_915), variable.VariableModification("S", 79_966_331), variable.VariableModification("T", 79_966_331, "Terminus_N"), variable.VariableModification("", 42_010_565, "Bond_N"), variable.VariableModification("", -984_016, "Bond_C"))
+MOST = 2
+# places of each kind: residues from 1, the bonds 0 and one behind the last residue
+_SITES = (
+    "SELECT sequence, place, CASE sequence[place] WHEN 'M' THEN 15994915 ELSE 79966331 END AS delta FROM (SELECT sequence, unnest(range(1, length(sequence) + 1)) AS place FROM ({source})) "
+    "WHERE sequence[place] IN ('M', 'S') OR place = 1 AND sequence[1] = 'T' UNION ALL SELECT sequence, 0, 42010565 FROM ({source}) UNION ALL SELECT sequence, length(sequence) + 1, -984016 FROM ({source})"
+)
+
+
+def _forms_sql(source: str) -> str:
+    """sequence, form and delta of every form; the marks are cut in from the right, so that places keep their meaning."""
+    mark = "'[v' || CAST({d} AS VARCHAR) || ']'"
+
+    def cut(seq: str, place: str, d: str) -> str:
+        m = mark.format(d=d)
+        return f"CASE WHEN {place} = 0 THEN {m} || '-' || {seq} WHEN {place} > length(sequence) THEN {seq} || '-' || {m} ELSE substr({seq}, 1, {place}) || {m} || substr({seq}, {place} + 1) END"
+
+    sites = f"({_SITES.format(source=source)})"
+    return (
+        f"SELECT sequence, sequence AS form, 0 AS delta FROM ({source}) UNION ALL SELECT sequence, {cut('sequence', 'place', 'delta')}, delta FROM {sites} "
+        f"UNION ALL SELECT sequence, {cut('part', 'p1', 'd1')}, d1 + d2 FROM (SELECT a.sequence, a.place AS p1, a.delta AS d1, b.delta AS d2, {cut('a.sequence', 'b.place', 'b.delta').replace('length(sequence)', 'length(a.sequence)')} AS part FROM {sites} a JOIN {sites} b ON a.sequence = b.sequence AND a.place < b.place)"
+    )
+
+
+def _forms(peptides: DataFrame) -> DataFrame:
+    """Every form of every peptide, with its delta: the whole mass axis is the window."""
+    top = F.lit(1 << 62)
+    rows = variable.shifted_windows(peptides.withColumns({"mass_int": top, "lo": top, "hi": top}), VARIABLE, MOST)
+    return variable.forms(rows, "sequence", VARIABLE, MOST).select("sequence", "form", "delta")
+
+
+@query(f"SELECT form, {_MASS.replace('sequence', 'f.sequence')} + delta AS mass FROM ({_forms_sql(V.PEPTIDES)}) f")
+def variable_forms(spark: SparkSession, d: str) -> DataFrame:
+    """All peptides with up to two variable modifications, and their masses."""
+    return _forms(V.peptides(spark, d)).select("form", (sequence.sequence_mass(F.col("sequence")) + F.col("delta")).alias("mass"))
+
+
+# b ions weigh the marks up to their residue and the front bond's, y ions the rest
+_FORM_IONS = _ions_sql(f"SELECT DISTINCT peptide AS key, peptide AS sequence FROM ({V.LIBRARY})", "key")
+_ONE_MARK = _SITES.format(source=f"SELECT DISTINCT peptide AS sequence FROM ({V.LIBRARY})")
+
+
+@query(
+    f"SELECT key AS sequence, s.place AS site, s.delta AS delta, kind, number, round(CASE kind WHEN 'B' THEN (prefix + CASE WHEN s.place <= i.place THEN s.delta ELSE 0 END) ELSE (whole - prefix + {mass_int(WATER)} + CASE WHEN s.place > i.place THEN s.delta ELSE 0 END) END / {SCALE} + {PROTON}, 5) AS mz "
+    f"FROM (SELECT *, unnest(['B', 'Y']) AS kind, unnest([place, n - place]) AS number FROM ({_FORM_IONS}) WHERE place < n) i JOIN ({_ONE_MARK}) s ON s.sequence = key"
+)
+def variable_ions(spark: SparkSession, d: str) -> DataFrame:
+    """Ions of every library peptide with one modification, by its site."""
+    rows = _forms(V.library(spark, d).select(F.col("peptide").alias("sequence")).distinct()).where("form <> sequence")
+    tokens = variable.tokens(F.col("form"))
+    site = F.when(F.col("form").startswith("["), 0).when(F.col("form").endswith("]") & F.contains(F.element_at(tokens, -1), F.lit("-[")), F.size(tokens) + 1).otherwise(F.array_position(F.transform(tokens, lambda t: F.contains(t, F.lit("["))), True))
+    rows = rows.where(F.regexp_count("form", F.lit("\\[")) == 1).withColumns({"site": site.cast("long"), "key": F.struct("sequence", site.cast("long").alias("site"), "delta")})
+    return fragments.ions(rows, "key", sequence="form", marked=True).select("key.*", "kind", "number", F.round("mz", 5).alias("mz"))
+
+
+@query(
+    f"WITH forms AS (SELECT peptide_id, form, library_mass + delta AS mass FROM ({V.LIBRARY}) l JOIN ({_forms_sql(f'SELECT DISTINCT peptide AS sequence FROM ({V.LIBRARY})')}) f ON l.peptide = f.sequence) "
+    f"SELECT p.scan, count(*) AS forms, min(f.mass) AS least, max(f.mass) AS most, min(form) AS first_form FROM ({_BOUNDS}) p JOIN forms f ON f.mass BETWEEN lo AND hi GROUP BY p.scan"
+)
+def variable_window_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Forms of library peptides in every precursor's window, found by moved windows."""
+    windows = variable.shifted_windows(_bounded(spark, d).select("scan", "mass_int", "lo", "hi"), VARIABLE, MOST)
+    found = variable.forms(C.mass_window_join(windows, V.library(spark, d), WIDTH), "peptide", VARIABLE, MOST)
+    mass = F.col("library_mass") + F.col("delta")
+    return found.groupBy("scan").agg(F.count(F.lit(1)).alias("forms"), F.min(mass).alias("least"), F.max(mass).alias("most"), F.min("form").alias("first_form"))
+
+
+@query(f"SELECT peptide_id AS scan, n AS targets, n AS decoys, 0 AS missing FROM (SELECT a.peptide_id, count(*) AS n FROM ({V.LIBRARY}) a JOIN ({V.LIBRARY}) b ON b.library_mass BETWEEN a.library_mass - a.library_mass * {PPM} // 1000000 AND a.library_mass + a.library_mass * {PPM} // 1000000 GROUP BY a.peptide_id)")
+def decoy_fillup(spark: SparkSession, d: str) -> DataFrame:
+    """A search space around every library mass, with as many decoys as targets; none may be missing."""
+    rows = P.with_bounds(V.library(spark, d).select(F.col("peptide_id").alias("scan"), F.col("library_mass").alias("mass_int")), "mass_int", PPM, PPM)
+    library = V.library(spark, d).select(F.col("peptide").alias("sequence"), F.col("library_mass").alias("mass"))
+    p = SearchParams(lower_mass_tolerance_ppm=PPM, upper_mass_tolerance_ppm=PPM, decoys_per_peptide=1)
+    space = search_space(rows, library, p, MAX_MASS)
+    missing = space.short.groupBy("scan").agg(F.sum("missing").alias("missing"))
+    counts = space.candidates.groupBy("scan").agg(F.count_if("is_target").alias("targets"), F.count_if(~F.col("is_target")).alias("decoys"))
+    return counts.join(missing, "scan", "left").select("scan", "targets", "decoys", F.coalesce("missing", F.lit(0)).cast("int").alias("missing"))
+
+
 # progress, metrics, errors
 
 

@@ -1,18 +1,32 @@
-"""The search as one DataFrame plan: spectra, precursors, candidates, scores, features, outlier probabilities."""
+"""The search: spectra, precursors, candidates, scores, features, outlier probabilities.
+
+Spectra and candidates are written once to the shared folder, so files are parsed once however many results are taken from a run.  Candidates come
+from mass windows, with variable modifications from windows moved by each combination; scores are one streamed pass over each scan's candidates.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import time
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ionloom.functions.sequence import sequence_mass
+from ionloom.functions.sequence import annotated, missed_cleavages, sequence_mass
 from ionloom.operators import candidates as C
 from ionloom.operators import decoys as D
-from ionloom.operators import features, fragments, loop, precursors, xcorr
+from ionloom.operators import features, loop, precursors, scan_scores
+from ionloom.operators import variable as V
 from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 from ionloom.params import SearchParams
+from ionloom.session import discard, written
+from ionloom.sources.tables import within
 
 SCAN = ["uuid", "ms_run", "spectrum_id", "precursor_no"]
+#: Rounds of new decoys for scans that are still short, each with seeds of its own.
+DECOY_ROUNDS = 6
+UNIT = ["scan", "units"]
 
 
 def precursor_rows(spectra: DataFrame, p: SearchParams) -> DataFrame:
@@ -35,51 +49,134 @@ def spectrum_errors(spectra: DataFrame) -> DataFrame:
     return whole.unionAll(each.withColumn("error", bad).where("error is not null"))
 
 
-def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None) -> DataFrame:
-    """scan, peptide, theoretical mass and is_target: library peptides in the window and decoys that are no targets.
+@dataclass(frozen=True)
+class SearchSpace:
+    """Candidates of all scans, the decoys among them that are new, and what scans lack after all rounds (scan, units, missing)."""
+
+    candidates: DataFrame
+    new_decoys: DataFrame | None = None
+    short: DataFrame | None = None
+    scratch: tuple[DataFrame, ...] = ()
+
+
+def _joined(residues: Column) -> Column:
+    return F.concat_ws("", F.transform("units", lambda u: F.get(residues, u)))
+
+
+def _new_decoys(short: DataFrame, library: DataFrame, p: SearchParams, seed: int, mods: StaticModifications, variable: tuple[V.VariableModification, ...]) -> DataFrame:
+    """Generated decoys for (scan, units, delta, mass_int, lo, hi, missing): some more than missing, without targets, with one form each."""
+    # where the modifications of a scan's targets need a residue, its decoys have it as well
+    at = {c: F.array(*(F.lit(v.residue if v.position == place else "") for v in variable)) for c, place in (("needs", "Anywhere"), ("first", "Terminus_N"), ("last", "Terminus_C"))} if variable else {}
+    residues = {c: _joined(a) for c, a in at.items()} or {c: F.lit("") for c in ("needs", "first", "last")}
+    asked = F.col("missing") + F.ceil(F.col("missing") / 10) + 5
+    wanted = short.select(*UNIT, "delta", F.xxhash64("scan", F.to_json("units"), F.lit(seed)).alias("seed"), "mass_int", "lo", "hi", "missing", asked.alias("asked"), *(e.alias(c) for c, e in residues.items()))
+    D.register(short.sparkSession, mods)
+    made = short.sparkSession.sql("SELECT scan, units, delta, missing, nr, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(asked AS INT), needs, first, last)", wanted=wanted)
+    made = C.without_targets(made, library).withColumn("library_mass", sequence_mass(F.col("sequence"), mods) + F.col("delta"))
+    return V.one_form(made, "sequence", variable, p.max_variable_modifications if variable else 0, F.xxhash64("scan", "sequence"), mods)
+
+
+def _first_of_scan(rows: DataFrame, limit: str) -> DataFrame:
+    """The first ``limit`` forms of each scan and combination, each form once."""
+    rows = rows.dropDuplicates([*UNIT, "form"])
+    return rows.withColumn("place", F.row_number().over(Window.partitionBy(*UNIT).orderBy("nr", "form"))).where(F.col("place") <= F.col(limit)).select(*UNIT, "sequence", "form", "library_mass", "new")
+
 
-    Masses include the static modifications.  Known decoys (``cached``: sequence) come first; new ones fill a scan up after the
-    targets among both are gone, which is why some more are made than needed.
+def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> SearchSpace:
+    """scan, peptide, theoretical mass and is_target: forms of library peptides in the window, and decoys that are no targets.
+
+    Masses include the modifications.  Of each scan and combination of variable modifications, decoys are counted by its targets: known ones first
+    (``cached``: sequence), then new ones in rounds, until none is short or the rounds are over; what is missing then is told in ``short``.
     """
     width = C.bin_width(max_mass, p.lower_mass_tolerance_ppm, p.upper_mass_tolerance_ppm)
-    keys = rows.select("scan", "mass_int", "lo", "hi")
-    targets = C.mass_window_join(keys, library.select(F.col("sequence").alias("peptide"), (F.col("mass") if mods == UNMODIFIED else sequence_mass(F.col("sequence"), mods)).alias("library_mass")), width).select("scan", "peptide", "library_mass")
+    most = p.max_variable_modifications if variable else 0
+    windows = V.shifted_windows(rows.select("scan", "mass_int", "lo", "hi"), variable, most)
+    if mods == UNMODIFIED and not variable:
+        ends = rows.agg(F.min("lo").alias("least"), F.max("hi").alias("most")).first()
+        library_rows = within(library, ends.least or 0, ends.most or 0)
+    else:  # the library's masses are those without modifications
+        library_rows = library
+    mass = F.col("mass") if mods == UNMODIFIED else sequence_mass(F.col("sequence"), mods)
+    peptides = library_rows.select(F.col("sequence").alias("peptide"), mass.alias("library_mass"))
+    targets = V.forms(C.mass_window_join(windows, peptides, width), "peptide", variable, most, mods)
+    targets = targets.select(*UNIT, F.col("form").alias("peptide"), (F.col("library_mass") + F.col("delta")).alias("library_mass"))
+    targets = written(targets, "targets")
     if not p.decoys_per_peptide:
-        return targets.withColumn("is_target", F.lit(True))
-    needed = targets.groupBy("scan").agg((F.count(F.lit(1)) * p.decoys_per_peptide).alias("needed"))
-    wanted = keys.join(needed, "scan").select("scan", F.xxhash64("scan", F.lit(seed)).alias("seed"), "mass_int", "lo", "hi", (F.col("needed") + F.ceil(F.col("needed") / 10) + 5).alias("asked"))
-    D.register(rows.sparkSession, mods)
-    made = rows.sparkSession.sql("SELECT scan, nr, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(asked AS INT))", wanted=wanted)
-    made = C.without_targets(made, library).select("scan", "nr", F.col("sequence").alias("peptide"), sequence_mass(F.col("sequence"), mods).alias("library_mass"))
-    known = made.limit(0)
+        return SearchSpace(targets.drop("units").withColumn("is_target", F.lit(True)), scratch=(targets,))
+    counts = targets.groupBy(*UNIT).agg((F.count(F.lit(1)) * p.decoys_per_peptide).alias("needed"))
+    needed = written(windows.join(counts, UNIT), "needed")
+    none = needed.select(*UNIT, F.lit("").alias("sequence"), F.lit("").alias("form"), F.lit(0).cast("long").alias("library_mass"), F.lit(False).alias("new")).limit(0)
+    parts = [written(none, "decoys")]
     if cached is not None:
-        known = C.without_targets(cached, library).select(F.lit(0).alias("nr"), F.col("sequence").alias("peptide"), sequence_mass(F.col("sequence"), mods).alias("library_mass"))
-        known = C.mass_window_join(keys, known, width).select("scan", "nr", "peptide", "library_mass")
-    filled = C.top_up(known, made, needed, ["scan"], ["nr", "peptide"])
-    return C.union_candidates(targets, filled.select("scan", "peptide", "library_mass"))
+        pool = C.without_targets(cached.select("sequence"), library).distinct().select("sequence", sequence_mass(F.col("sequence"), mods).alias("pool_mass"))
+        known = C.mass_window_join(needed, pool, width, "pool_mass").withColumn("library_mass", F.col("pool_mass") + F.col("delta"))
+        known = V.one_form(known, "sequence", variable, most, F.xxhash64("scan", "sequence"), mods)
+        parts.append(written(_first_of_scan(known.withColumns({"nr": F.lit(0), "new": F.lit(False)}), "needed"), "decoys"))
+    scratch = [targets, needed]
+    for n in range(DECOY_ROUNDS + 1):
+        have = reduce(DataFrame.unionAll, parts)
+        short = needed.join(have.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("have")), UNIT, "left")
+        short = short.withColumn("missing", F.col("needed") - F.coalesce("have", F.lit(0))).where("missing > 0").select(*UNIT, "delta", "mass_int", "lo", "hi", "missing")
+        short = written(short, "short")
+        scratch.append(short)
+        if n == DECOY_ROUNDS or short.isEmpty():
+            break
+        made = _new_decoys(short, library, p, seed + n * 1_000_003, mods, variable).join(have.select(*UNIT, "form"), [*UNIT, "form"], "left_anti")
+        parts.append(written(_first_of_scan(made.withColumn("new", F.lit(True)), "missing"), "decoys"))
+    have = reduce(DataFrame.unionAll, parts)
+    all_rows = C.union_candidates(targets.drop("units"), have.select("scan", F.col("form").alias("peptide"), "library_mass"))
+    new = have.where("new").select("sequence").distinct()
+    new = new.select(sequence_mass(F.col("sequence"), mods).alias("mass"), "sequence", missed_cleavages(F.col("sequence")).cast("short").alias("missed_cleavages"))
+    return SearchSpace(all_rows, new, short, (*scratch, *parts))
+
+
+def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> DataFrame:
+    """The candidates of ``search_space``."""
+    return search_space(rows, library, p, max_mass, seed, mods, cached, variable).candidates
 
 
 def match_rows(rows: DataFrame, candidates: DataFrame, p: SearchParams, mods: StaticModifications = UNMODIFIED) -> DataFrame:
     """One row for each scan and candidate with xcorr, ion counts and features."""
-    x = p.xcorr
-    if x.use_neutral_loss_ions:
+    if p.xcorr.use_neutral_loss_ions:
         raise ValueError("neutral-loss ions aren't scored")
-    peaks = rows.select("scan", F.explode(F.arrays_zip("mz", "intensity")).alias("k")).select("scan", "k.*")
-    heights = xcorr.normalised(xcorr.binned(peaks, x), x)
-    pairs = candidates.select("scan", "peptide").distinct()
-    peptides = pairs.select(F.col("peptide").alias("sequence")).distinct()
-    ions = fragments.ions(peptides.withColumn("key", F.col("sequence")), "key", x.ions, x.max_fragment_charge, mods=mods)
-    ions = ions.select(F.col("key").alias("peptide"), "kind", "number", F.col("charge").alias("ion_charge"), xcorr.bin_of(F.col("mz"), x).alias("bin"))
-    limits = rows.select("scan", F.greatest(F.least(F.col("charge") - 1, F.lit(x.max_fragment_charge)), F.lit(1)).alias("top"))
-    bins = pairs.join(limits, "scan").join(ions, "peptide").where("ion_charge <= top").select("scan", "peptide", "bin")
-    scored = xcorr.scores(heights, bins, x)
-    out = candidates.join(scored, ["scan", "peptide"]).join(rows.select("scan", *SCAN, "precursor_mz", "charge", "precursor_da"), "scan")
+    out = scan_scores.scored(rows.select("scan", *SCAN, "precursor_mz", "charge", "precursor_da", "mz", "intensity"), candidates, p.xcorr, mods)
     out = out.select(*SCAN, F.col("spectrum_id").alias("scan_id"), "peptide", "is_target", F.col("charge").cast("short").alias("charge"), "precursor_mz", "precursor_da", F.col("precursor_da").alias("experimental_mass"), "xcorr", "ions_total", "ions_matched", (F.col("library_mass") / 1_000_000).alias("theoretical_mass"), F.lit(None).cast("double").alias("second_theoretical_mass"))
     return features.with_features(features.above_threshold(out, p.score_threshold))
 
 
-def search(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None) -> DataFrame:
-    """Scored matches of all spectra; ``max_mass`` bounds the integer masses of precursors."""
-    rows = precursor_rows(spectra, p)
-    psms = match_rows(rows, candidate_rows(rows, library, p, max_mass, seed, mods, cached), p, mods)
-    return loop.with_loop(psms, SCAN, ["xcorr", "ions_matched_ratio", "mass_error"], ["peptide"])
+@dataclass(frozen=True)
+class Found:
+    """What a search has: precursors, its search space, matches (computed when they are written), errors, and seconds of the steps so far."""
+
+    spectra: DataFrame
+    rows: DataFrame
+    space: SearchSpace
+    matches: DataFrame
+    errors: DataFrame
+    seconds: dict[str, float]
+
+    def discard(self) -> None:
+        """Deletes the scratch tables; nothing of the search can be read afterwards."""
+        discard(self.spectra, *self.space.scratch)
+
+
+def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> Found:
+    """A whole search over ``spectra``, which are read once; ``max_mass`` bounds the integer masses of precursors."""
+    began = time.monotonic()
+    stored = written(spectra, "spectra")
+    rows = precursor_rows(stored, p)
+    read = time.monotonic()
+    space = search_space(rows, library, p, max_mass, seed, mods, cached, variable)
+    seconds = {"spectra": read - began, "search_space_generation": time.monotonic() - read}
+    matches = loop.with_loop(match_rows(rows, space.candidates, p, mods), SCAN, ["xcorr", "ions_matched_ratio", "mass_error"], ["peptide"])
+    errors = spectrum_errors(stored)
+    if space.short is not None:
+        scans = rows.select("scan", "uuid", "ms_run", "spectrum_id", F.struct(F.col("precursor_mz").alias("mz"), F.col("charge").cast("short").alias("charge")).alias("precursor"))
+        lacking = space.short.groupBy("scan").agg(F.sum("missing").alias("missing")).join(scans, "scan")
+        errors = errors.unionAll(lacking.select("uuid", "ms_run", "spectrum_id", F.col("precursor").cast("struct<mz:double,charge:smallint>").alias("precursor"), F.concat(F.col("missing").cast("string"), F.lit(" decoys missing")).alias("error")))
+    return Found(stored, rows, space, matches.withColumn("peptide", annotated(F.col("peptide"), mods)), errors, seconds)
+
+
+def search(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> DataFrame:
+    """Scored matches of all spectra; peptides carry the marks of their modifications."""
+    return find(spectra, library, p, max_mass, seed, mods, cached, variable).matches

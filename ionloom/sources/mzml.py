@@ -9,14 +9,17 @@ tag of their own (``<spectrum .../>``) are passed over.
 from __future__ import annotations
 
 import base64
+import codecs
+import gzip
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree.ElementTree import Element, ParseError, fromstring
 from xml.sax.saxutils import unescape
 
 import numpy as np
 import pandas as pd
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.readwriter import DataFrameReader
@@ -164,7 +167,12 @@ def watch_spectra(spark: SparkSession, path: str, uuid: str, per_trigger: int =
 
 
 def spectrum_index(spark: SparkSession, path: str, without_ms2: bool = False) -> DataFrame:
-    """ms_run, spectrum_id and byte offset of every spectrum, or of those whose MS level isn't 2.
+    """ms_run, spectrum_id and byte offset of every spectrum, or of those whose MS level isn't 2."""
+    return spectrum_places(spark, path, without_ms2).select("ms_run", "spectrum_id", "offset")
+
+
+def spectrum_places(spark: SparkSession, path: str, without_ms2: bool = False) -> DataFrame:
+    """ms_run, path, spectrum_id, offset, length and head (bytes of the file before its first spectrum) of every spectrum.
 
     Offsets are counted in the unpacked file, after a byte order mark.  A record's offset is the bytes of all records before it; only
     its size, id and place enter the window over a file.
@@ -183,8 +191,101 @@ def spectrum_index(spark: SparkSession, path: str, without_ms2: bool = False) ->
 
     sizes = records(spark.read, path).mapInPandas(run, "ms_run string, path string, block long, nr long, size long, at long, spectrum_id string, level int")
     before = Window.partitionBy("path").orderBy("block", "nr").rowsBetween(Window.unboundedPreceding, -1)
-    out = sizes.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)) + F.col("at")).where("spectrum_id is not null")
-    return (out.where("level is null or level <> 2") if without_ms2 else out).select("ms_run", "spectrum_id", "offset")
+    out = sizes.withColumn("offset", F.coalesce(F.sum("size").over(before), F.lit(0)) + F.col("at")).where("at is not null")
+    out = out.withColumns({"length": F.col("size") - F.col("at"), "head": F.min("offset").over(Window.partitionBy("path"))}).where("spectrum_id is not null")
+    return (out.where("level is null or level <> 2") if without_ms2 else out).select("ms_run", "path", "spectrum_id", "offset", "length", "head")
+
+
+def write_places(places: DataFrame, path: str) -> None:
+    """The index as Parquet, ordered by spectrum id, so that a lookup reads few row groups."""
+    places.repartitionByRange("spectrum_id", "path").sortWithinPartitions("spectrum_id", "path").write.mode("overwrite").parquet(path)
+
+
+class _Reader:
+    """A file read at places; it counts the bytes that it takes from the file system.
+
+    Paths are URIs as Spark's ``_metadata.file_path`` gives them and are opened by Arrow, so any store that Arrow knows will do.  A packed file
+    is unpacked up to the place, as its offsets are those of the unpacked file; places come in ascending order, so it is unpacked once.
+    """
+
+    def __init__(self, path: str):
+        system, name = FileSystem.from_uri(path)
+        self.count, self.raw = 0, system.open_input_file(name)
+        self.packed = gzip.GzipFile(fileobj=self) if name.lower().endswith(".gz") else None
+        self.source = self.packed or self
+        self.skip = 3 if self.take(0, 3) == codecs.BOM_UTF8 else 0
+
+    def read(self, n: int = -1) -> bytes:
+        out = self.raw.read(n if n >= 0 else None)
+        self.count += len(out)
+        return out
+
+    def seek(self, at: int) -> None:
+        self.raw.seek(at)
+
+    def take(self, at: int, n: int) -> bytes:
+        self.source.seek(at)
+        return self.source.read(n)
+
+    def at(self, offset: int, n: int) -> bytes:
+        return self.take(offset + self.skip, n)
+
+    def close(self) -> None:
+        self.raw.close()
+
+
+def _placed(places: DataFrame, row: Callable[[_Reader, int, int, int], dict | None], schema: str) -> DataFrame:
+    """``row`` of every place, in tasks that open a file once and read at its places only; ``bytes_read`` is what each place took."""
+    columns = [x.split()[0] for x in schema.split(", ")]
+
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        reader, open_path = None, None
+        for part in parts:
+            for at in range(0, len(part), BATCH_SPECTRA):
+                out = []
+                some = part.iloc[at : at + BATCH_SPECTRA]
+                for run_name, path, offset, length, head in zip(some["ms_run"], some["path"], some["offset"], some["length"], some["head"], strict=True):
+                    if path != open_path:
+                        if reader:
+                            reader.close()
+                        reader, open_path = _Reader(path), path
+                    before, got = reader.count, row(reader, int(offset), int(length), int(head))
+                    if got is not None:
+                        out.append({"ms_run": run_name, **got, "bytes_read": reader.count - before})
+                if out:
+                    yield pd.DataFrame(out, columns=columns)
+        if reader:
+            reader.close()
+
+    dealt = places.select("ms_run", "path", "offset", "length", "head").repartitionByRange("path", "offset").sortWithinPartitions("path", "offset")
+    return dealt.mapInPandas(run, schema)
+
+
+def read_places(places: DataFrame, uuid: str) -> DataFrame:
+    """Spectra at the places of an index, and ``bytes_read``: only their bytes are read, whatever the files' size.
+
+    Tasks are planned from the places, which are dealt by file and offset.  A place that holds no spectrum (the file has changed) gives no row.
+    """
+
+    def row(reader: _Reader, offset: int, length: int, head: int) -> dict | None:
+        found = _spectrum(reader.at(offset, length).removesuffix(END.encode()))
+        return found and {"uuid": uuid, **found}
+
+    return _placed(places, row, SPECTRUM_SCHEMA + ", bytes_read long")
+
+
+def extract_places(places: DataFrame) -> DataFrame:
+    """ms_run, a standalone mzML document and ``bytes_read`` for each place: the file's head and the one spectrum are read."""
+
+    def row(reader: _Reader, offset: int, length: int, head: int) -> dict | None:
+        body = reader.at(offset, length).decode("utf-8", "replace")
+        if _element(body.encode()) is None:
+            return None
+        start = _HEAD.search(reader.at(0, head).decode("utf-8", "replace"))
+        start = re.sub(r'(<spectrumList\b[^>]*?\bcount=)"[^"]*"', r'\1"1"', start[0] if start else _PLAIN_HEAD)
+        return {"mzml": f'<?xml version="1.0" encoding="utf-8"?>\n{start}{body}</spectrumList></run></mzML>\n'}
+
+    return _placed(places, row, "ms_run string, mzml string, bytes_read long")
 
 
 def index_json(index: DataFrame) -> DataFrame:

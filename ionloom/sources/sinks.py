@@ -22,9 +22,16 @@ def write_psms(psms: DataFrame, path: str, mode: str = "overwrite", batch: int |
     out.write.partitionBy(*keys).option("compression", "zstd").option("partitionOverwriteMode", "dynamic").mode(mode).parquet(path)
 
 
-def write_candidates(candidates: DataFrame, path: str) -> None:
-    """One peptide a line, by search and run."""
-    candidates.select("uuid", "ms_run", F.col("peptide").alias("value")).write.partitionBy("uuid", "ms_run").mode("overwrite").text(path)
+def write_candidates(candidates: DataFrame, path: str, batch: int | None = None) -> None:
+    """One peptide a line, by search and run (and batch of a stream); only the partitions at hand are replaced."""
+    keys = ["uuid", "ms_run"] if batch is None else ["uuid", "ms_run", "batch"]
+    rows = candidates if batch is None else candidates.withColumn("batch", F.lit(batch).cast("long"))
+    rows.select(*keys, F.col("peptide").alias("value")).write.partitionBy(*keys).option("partitionOverwriteMode", "dynamic").mode("overwrite").text(path)
+
+
+def replace_batch(rows: DataFrame, path: str, batch: int | str, keys: tuple[str, ...] = (), kind: str = "parquet") -> None:
+    """What a stream's batch (or a search that is no stream, under its name) has for a side table: all that it left there before is replaced."""
+    rows.write.partitionBy(*keys).mode("overwrite").format(kind).save(f"{path}/batch={batch}")
 
 
 def fasta(candidates: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -55,10 +62,22 @@ def append_errors(errors: DataFrame, path: str) -> None:
     errors.withColumn("level", level).write.partitionBy("level").mode("append").json(path)
 
 
+def write_errors(errors: DataFrame, path: str, batch: int | str) -> None:
+    """Errors of a batch with their level; a repeated batch replaces its own."""
+    level = error_level(F.col("uuid"), F.col("ms_run"), F.col("spectrum_id"), F.col("precursor"))
+    replace_batch(errors.withColumn("level", level), path, batch, ("level",), "json")
+
+
 def append_decoys(decoys: DataFrame, path: str) -> None:
     """New decoys are appended; ``read_decoys`` has each sequence once."""
     decoys.select("mass", "sequence", "missed_cleavages").write.mode("append").parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether the path is there, in the file system that it names."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def read_decoys(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema("mass long, sequence string, missed_cleavages short").parquet(path).dropDuplicates(["sequence"])

@@ -25,12 +25,17 @@ def read_library(spark: SparkSession, path: str, max_mass: int | None = None, mi
 
     Folders without a bin width, as other writers leave them, are read by the mass alone.
     """
-    rows = spark.read.schema(LIBRARY_SCHEMA).parquet(path)
+    return within(spark.read.schema(LIBRARY_SCHEMA).parquet(path), min_mass, max_mass)
+
+
+def within(rows: DataFrame, min_mass: int | None, max_mass: int | None) -> DataFrame:
+    """Library rows of the masses from ``min_mass`` to ``max_mass``; the folders, where the table has them, are pruned."""
     folder = lambda mass: F.floor(F.lit(mass) / F.col("bin_width"))
-    if min_mass is not None:
-        rows = rows.where(F.coalesce(F.col("partition") >= folder(min_mass), F.lit(True))).where(F.col("mass") >= min_mass)
-    if max_mass is not None:
-        rows = rows.where(F.coalesce(F.col("partition") <= folder(max_mass), F.lit(True))).where(F.col("mass") <= max_mass)
+    folders = "bin_width" in rows.columns
+    for mass, keep in ((min_mass, lambda a, b: a >= b), (max_mass, lambda a, b: a <= b)):
+        if mass is not None:
+            rows = rows.where(F.coalesce(keep(F.col("partition"), folder(mass)), F.lit(True))) if folders else rows
+            rows = rows.where(keep(F.col("mass"), mass))
     return rows
 
 

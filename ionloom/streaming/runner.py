@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from ionloom.constants import SPECTRUM_SCHEMA
 from ionloom.session import scratch_dir
@@ -17,7 +19,7 @@ def watch_spectra(spark: SparkSession, path: str, per_trigger: int = 100) -> Dat
     return spark.readStream.schema(SPECTRUM_SCHEMA).option("maxFilesPerTrigger", per_trigger).parquet(path)
 
 
-def run_stream(spectra: DataFrame, step: Callable[[DataFrame], DataFrame], sink: Callable[[DataFrame, int], None], checkpoint: str, once: bool = True) -> StreamingQuery:
+def run_stream(spectra: DataFrame, step: Callable[[DataFrame], Any], sink: Callable[[Any, int], None], checkpoint: str, once: bool = True) -> StreamingQuery:
     """Every batch goes through ``step`` and ``sink``; the sink must replace what a repeated batch wrote."""
     writer = spectra.writeStream.option("checkpointLocation", checkpoint).foreachBatch(lambda df, n: sink(step(df), n))
     return (writer.trigger(availableNow=True) if once else writer).start()
@@ -32,6 +34,39 @@ def progress(spectra: DataFrame, finished: DataFrame, enqueued: DataFrame) -> Da
     return out.withColumn("is_finished", F.col("enqueued") & (F.col("total") == F.col("finished")))
 
 
+def finished_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Spectra of each search that are searched, from the rows (uuid, ms_run, spectrum_id) that batches left under their number.
+
+    A repeated batch replaced its own rows and a spectrum that came in two batches counts once, so the counts hold after any restart.
+    """
+    rows = spark.read.schema("uuid string, ms_run string, spectrum_id string, batch string").parquet(path)
+    return rows.groupBy("uuid").agg(F.countDistinct("ms_run", "spectrum_id").alias("finished"))
+
+
+class Progress(StreamingQueryListener):
+    """The last batches of all streams of a session as dictionaries; ``told`` is called for each, as it ends."""
+
+    def __init__(self, told: Callable[[dict], None] = lambda row: None, most: int = 1000) -> None:
+        self.batches: deque[dict] = deque(maxlen=most)
+        self.ended: deque[str | None] = deque(maxlen=most)
+        self.told = told
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        row = {"query": str(p.id), "batch": p.batchId, "rows": p.numInputRows, "ms": p.batchDuration}
+        self.batches.append(row)
+        self.told(row)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.append(event.exception)
+
+
 def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """``df`` and its number of rows, which is known as soon as an action has run over it."""
     seen = Observation(name)
