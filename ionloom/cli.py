@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import time
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -38,9 +37,7 @@ def store(spark: SparkSession, found: Found, out: str, sp: SearchParams, name: s
     """
     of = name if batch is None else batch
     matches, seen = runner.observed(found.matches, f"matches {of}")
-    began = time.monotonic()
     sinks.write_psms(matches, out, batch=batch)
-    seconds = {**found.seconds, "identification": time.monotonic() - began}
     space = found.space.candidates.join(found.rows.select("scan", *SCAN), "scan")
     sizes = C.size_metric(space, SCAN)
     sinks.replace_batch(sinks.metrics_long(sizes, SCAN, {"size": F.col("size"), "len": F.col("len")}), out + ".metrics", of)
@@ -50,7 +47,7 @@ def store(spark: SparkSession, found: Found, out: str, sp: SearchParams, name: s
     if decoys and found.space.new_decoys is not None:
         sinks.append_decoys(found.space.new_decoys, decoys)
     sinks.replace_batch(found.rows.select("uuid", "ms_run", "spectrum_id").distinct(), out + ".finished", of)
-    times = spark.createDataFrame([(k, v * 1000) for k, v in seconds.items()], "stage string, ms double")
+    times = spark.createDataFrame([(k, v * 1000) for k, v in found.seconds.items()], "stage string, ms double")
     sinks.replace_batch(times, out + ".times", of)
     found.discard()
     return seen.get["rows"]

@@ -1,6 +1,6 @@
 """Local outlier probabilities (Kriegel, Kroeger, Schubert and Zimek 2009) within groups such as one precursor's matches.
 
-Distances of a group are computed in blocks of rows, so a task holds block x group numbers.  With n <= k rows all others are
+``with_loop`` deals groups of any size as blocks of points; ``loop_scores`` is the same for one group in memory.  With n <= k rows all others are
 neighbours; one row alone, or rows without spread, have PLOF 0 and LoOP 0.  Null features make the row's results null.
 """
 
@@ -9,11 +9,12 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql import types as T
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ionloom.constants import EXTENT, NEIGHBOURS
+from ionloom.operators import neighbours
+from ionloom.session import discard, written
 
 _BLOCK = 512
 
@@ -48,16 +49,53 @@ def loop_scores(x: np.ndarray, k: int = NEIGHBOURS, extent: float = EXTENT) -> t
     return plof, np.full(n, nplof), loop
 
 
-def with_loop(df: DataFrame, keys: list[str], features: list[str], order: list[str], k: int = NEIGHBOURS, extent: float = EXTENT) -> DataFrame:
-    """``df`` with plof, nplof and loop_score, within each group of ``keys``."""
-    schema = T.StructType([*df.schema.fields, *(T.StructField(c, T.DoubleType()) for c in ("plof", "nplof", "loop_score"))])
+def erf(x: Column) -> Column:
+    """The error function for x >= 0 by its series of positive terms, 1 from 6 on."""
+    z = 2 * x * x
+    terms = F.aggregate(F.sequence(F.lit(0), F.lit(150)), F.struct(x.alias("t"), F.lit(0.0).alias("sum")), lambda a, i: F.struct((a["t"] * z / (2 * i + 3)).alias("t"), (a["sum"] + a["t"]).alias("sum")))
+    return F.when(x >= 6, 1.0).otherwise(2 / math.sqrt(math.pi) * F.exp(-x * x) * terms["sum"])
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order, kind="stable").reset_index(drop=True)
-        whole = pdf[features].notna().all(axis=1).to_numpy()
-        out = {c: np.full(len(pdf), np.nan) for c in ("plof", "nplof", "loop_score")}
-        for c, v in zip(out, loop_scores(pdf.loc[whole, features].to_numpy(float), k, extent), strict=True):
-            out[c][whole] = v
-        return pdf.assign(**{c: pd.Series(v).astype("float64").where(whole, None) for c, v in out.items()})
 
-    return df.groupBy(*keys).applyInPandas(run, schema)
+def numbered(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """``df`` written once, with ``loop_row``, a number that rises with keys and order, and ``loop_group``, the keys as text."""
+    rows = df.withColumn("loop_group", F.to_json(F.struct(*keys))).repartitionByRange("loop_group", *order).sortWithinPartitions("loop_group", *order)
+    return written(rows.withColumn("loop_row", F.monotonically_increasing_id()), "numbered")
+
+
+def prepared(rows: DataFrame, features: list[str], k: int, size: int = neighbours.BLOCK) -> tuple[DataFrame, DataFrame]:
+    """Packed blocks and block pairs of the rows whose features are all numbers."""
+    whole = rows.select(F.col("loop_group").alias("grp"), F.col("loop_row").alias("row"), *(F.col(f).cast("double").alias(f"x{i}") for i, f in enumerate(features)))
+    names = [f"x{i}" for i in range(len(features))]
+    for c in names:
+        whole = whole.where(F.col(c).isNotNull() & ~F.isnan(c))
+    packed = written(neighbours.blocks(whole, names, size), "blocks")
+    return packed, written(neighbours.partners(packed, k), "pairs")
+
+
+def with_loop(df: DataFrame, keys: list[str], features: list[str], order: list[str], k: int = NEIGHBOURS, extent: float = EXTENT, size: int = neighbours.BLOCK) -> DataFrame:
+    """``df`` with plof, nplof and loop_score, within each group of ``keys``.
+
+    A group of any size is dealt as blocks (see ``neighbours``): one pass finds each row's probabilistic distance, a second one the mean of
+    its neighbours' distances; the rest are aggregates and joins.  The tables in between are written to the shared folder.
+    """
+    rows = numbered(df, keys, order)
+    packed, pairs = prepared(rows, features, k, size)
+    pdist = written(neighbours.of_nearest(packed, pairs, k, lambda b: extent * np.sqrt(b.mean(b.d2))), "pdist")
+    around = written(neighbours.of_nearest(packed, pairs, k, lambda b: b.mean(b.value), pdist), "around")
+    each = neighbours.unpacked(packed, pdist=pdist, around=around)
+    each = written(each.select("grp", "row", F.when(F.col("around") > 0, F.col("pdist") / F.col("around") - 1).otherwise(0.0).alias("plof")), "plof")
+    spread = each.groupBy("grp").agg((extent * F.sqrt(F.avg(F.col("plof") * F.col("plof")))).alias("nplof"))
+    score = F.when(F.col("nplof") > 0, erf(F.greatest(F.col("plof"), F.lit(0.0)) / (F.col("nplof") * math.sqrt(2)))).otherwise(0.0)
+    found = each.join(spread, "grp").select(F.col("row").alias("loop_row"), "plof", "nplof", score.alias("loop_score"))
+    discard(packed, pairs, pdist, around)
+    return rows.join(found, "loop_row", "left").select(*df.columns, "plof", "nplof", "loop_score")
+
+
+def with_pdist(df: DataFrame, keys: list[str], features: list[str], order: list[str], k: int = NEIGHBOURS, extent: float = EXTENT, size: int = neighbours.BLOCK) -> DataFrame:
+    """``df`` with pdist, the probabilistic distance to the k nearest others in its group; 0 for a row alone, null without features."""
+    rows = numbered(df, keys, order)
+    packed, pairs = prepared(rows, features, k, size)
+    pdist = written(neighbours.of_nearest(packed, pairs, k, lambda b: extent * np.sqrt(b.mean(b.d2))), "pdist")
+    found = written(neighbours.unpacked(packed, pdist=pdist).select(F.col("row").alias("loop_row"), "pdist"), "pdist")
+    discard(packed, pairs, pdist)
+    return rows.join(found, "loop_row", "left").select(*df.columns, "pdist")

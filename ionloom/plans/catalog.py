@@ -449,12 +449,7 @@ def _loop(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT vec_id, round(pdist, 6) AS pdist FROM ({_PDIST})")
 def knn(spark: SparkSession, d: str) -> DataFrame:
-    def run(pdf):
-        pdf = pdf.sort_values("vec_id").reset_index(drop=True)
-        d2 = loop.nearest(pdf[["f0", "f1", "f2"]].to_numpy(float), K)[1]
-        return pdf[["vec_id"]].assign(pdist=(3 * d2.mean(1) ** 0.5) if len(pdf) > 1 else 0.0)
-
-    return V.features(spark, d).groupBy("grp").applyInPandas(run, "vec_id long, pdist double").select("vec_id", F.round("pdist", 6).alias("pdist"))
+    return loop.with_pdist(V.features(spark, d), ["grp"], ["f0", "f1", "f2"], ["vec_id"], k=K).select("vec_id", F.round("pdist", 6).alias("pdist"))
 
 
 @query(f"SELECT vec_id, round(plof, 6) AS plof, round(3 * sqrt(avg(plof * plof) OVER (PARTITION BY grp)), 6) AS nplof FROM ({_PLOF})")
@@ -462,7 +457,12 @@ def loop_plof(spark: SparkSession, d: str) -> DataFrame:
     return _loop(spark, d).select("vec_id", F.round("plof", 6).alias("plof"), F.round("nplof", 6).alias("nplof"))
 
 
-@query()
+# the error function by its series of positive terms
+_X = f"greatest(plof, 0.0) / (3 * sqrt(avg(plof * plof) OVER (PARTITION BY grp)) * {2**0.5})"
+_ERF = f"CASE WHEN x >= 6 THEN 1.0 ELSE {2 / 3.141592653589793**0.5} * exp(-x * x) * list_sum(list_transform(range(0, 151), lambda i: x * list_product(list_transform(range(0, i), lambda j: 2 * x * x / (2 * j + 3)) || [1.0]))) END"
+
+
+@query(f"SELECT vec_id, round({_ERF}, 6) AS loop_score FROM (SELECT vec_id, {_X} AS x FROM ({_PLOF}))")
 def loop_score(spark: SparkSession, d: str) -> DataFrame:
     return _loop(spark, d).select("vec_id", F.round("loop_score", 6).alias("loop_score"))
 

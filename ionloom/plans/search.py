@@ -146,7 +146,7 @@ def match_rows(rows: DataFrame, candidates: DataFrame, p: SearchParams, mods: St
 
 @dataclass(frozen=True)
 class Found:
-    """What a search has: precursors, its search space, matches (computed when they are written), errors, and seconds of the steps so far."""
+    """What a search has: precursors, its search space, matches, errors, and seconds of the steps."""
 
     spectra: DataFrame
     rows: DataFrame
@@ -168,7 +168,13 @@ def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int,
     read = time.monotonic()
     space = search_space(rows, library, p, max_mass, seed, mods, cached, variable)
     seconds = {"spectra": read - began, "search_space_generation": time.monotonic() - read}
-    matches = loop.with_loop(match_rows(rows, space.candidates, p, mods), SCAN, ["xcorr", "ions_matched_ratio", "mass_error"], ["peptide"])
+    began = time.monotonic()
+    scored = written(match_rows(rows, space.candidates, p, mods), "matches")
+    seconds["identification"] = time.monotonic() - began
+    began = time.monotonic()
+    matches = loop.with_loop(scored, SCAN, ["xcorr", "ions_matched_ratio", "mass_error"], ["peptide"])
+    discard(scored)
+    seconds["scoring"] = time.monotonic() - began
     errors = spectrum_errors(stored)
     if space.short is not None:
         scans = rows.select("scan", "uuid", "ms_run", "spectrum_id", F.struct(F.col("precursor_mz").alias("mz"), F.col("charge").cast("short").alias("charge")).alias("precursor"))

@@ -195,4 +195,4 @@ def test_local_run_with_variable_modifications(spark, tmp_path):
         read = spark.read.text(out + side) if side == ".candidates" else spark.read.parquet(out + side)
         assert read.count() == rows, side
     assert {r.uuid for r in spark.read.text(out + ".candidates").select("uuid").distinct().collect()} == {"one", "two"}
-    assert {r.stage for r in spark.read.parquet(out + ".times").collect()} == {"spectra", "search_space_generation", "identification"}
+    assert {r.stage for r in spark.read.parquet(out + ".times").collect()} == {"spectra", "search_space_generation", "identification", "scoring"}
