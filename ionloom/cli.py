@@ -14,7 +14,7 @@ from ionloom.operators import candidates as C
 from ionloom.operators import ptm, variable
 from ionloom.operators.precursors import with_bounds
 from ionloom.params import SearchParams
-from ionloom.plans.search import SCAN, Found, find
+from ionloom.plans.search import PARAMS, SCAN, Found, find
 from ionloom.session import session
 from ionloom.sources import mzml, sinks, tables
 from ionloom.streaming import runner
@@ -85,6 +85,7 @@ def main(argv: list[str] | None = None) -> int:
         x.add_argument("--ptms", help="CSV file of static and variable modifications")
         x.add_argument("--decoys", help="known decoys, as append_decoys writes them; new ones are added")
         x.add_argument("--params")
+        x.add_argument("--search-params", help="Parquet with parameters of single searches by uuid and version; a stream reads it for every batch")
         x.add_argument("--max-dalton", type=int, default=10_000)
         if name == "remote-run":
             x.add_argument("--format", choices=("parquet", "mzml"), default="parquet", help="files of the folder; mzml needs --uuid")
@@ -131,7 +132,7 @@ def main(argv: list[str] | None = None) -> int:
             ptms = tables.read_ptms(spark, a.ptms)
             mods, moving = ptm.static_modifications(ptms.where("mod_type <> 'Variable'")), variable.variable_modifications(ptms)
         known = lambda: sinks.read_decoys(spark, a.decoys) if a.decoys and sinks.exists(spark, a.decoys) else None
-        step = lambda df: find(df, library, sp, most, mods=mods, cached=known(), variable=moving)
+        step = lambda df: find(df, library, sp, most, mods=mods, cached=known(), variable=moving, params=spark.read.schema(PARAMS).parquet(a.search_params) if a.search_params else None)
         if a.command == "remote-run":
             arriving = mzml.watch_spectra(spark, a.spectra, name) if a.format == "mzml" else runner.watch_spectra(spark, a.spectra)
             listener = runner.Progress(lambda row: print(f"batch {row['batch']}: {row['rows']} rows in {row['ms']} ms", flush=True)) if a.follow else None

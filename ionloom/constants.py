@@ -5,6 +5,9 @@ from __future__ import annotations
 #: Proton and water masses in dalton (CODATA 2018; sum of monoisotopic atom masses).
 PROTON = 1.007276466621
 WATER = 18.010564684
+AMMONIA = 17.026549101
+# Residues whose fragments lose water or ammonia.
+WATER_LOSS, AMMONIA_LOSS = "DEST", "KNQR"
 #: Integer masses are dalton times SCALE, rounded.
 SCALE = 1_000_000
 

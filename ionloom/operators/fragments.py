@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ionloom.constants import PROTON, SCALE, WATER, mass_int
+from ionloom.constants import AMMONIA, AMMONIA_LOSS, PROTON, SCALE, WATER, WATER_LOSS, mass_int
 from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 from ionloom.operators.variable import plain, token_delta, tokens
 
@@ -32,3 +32,17 @@ def ions(peptides: DataFrame, key: str, kinds: tuple[str, ...] = ("B", "Y"), max
     rows = rows.select(key, F.explode(each).alias("x")).select(key, "x.*")
     rows = rows.withColumn("charge", F.explode(F.sequence(F.lit(1), F.lit(max_charge))))
     return rows.select(key, "kind", "number", "charge", ((F.col("mass") / SCALE + F.col("charge") * PROTON) / F.col("charge")).alias("mz"))
+
+
+#: Neutral losses: name, integer mass, and the residues of which a fragment must have one.
+LOSSES = (("H2O", mass_int(WATER), WATER_LOSS), ("NH3", mass_int(AMMONIA), AMMONIA_LOSS))
+
+
+def loss_ions(peptides: DataFrame, key: str, kinds: tuple[str, ...] = ("B", "Y"), max_charge: int = 1, sequence: str = "sequence", mods: StaticModifications = UNMODIFIED, marked: bool = False) -> DataFrame:
+    """The ions of ``ions`` less water or ammonia, as kinds like ``B-H2O``, where the fragment has a residue that loses it."""
+    letters = peptides.select(key, (plain(F.col(sequence)) if marked else F.col(sequence)).alias("letters"))
+    rows = ions(peptides, key, kinds, max_charge, sequence, mods, marked).join(letters, key)
+    part = F.when(F.col("kind") == "B", F.left("letters", F.col("number").cast("int"))).otherwise(F.right("letters", F.col("number").cast("int")))
+    each = F.array(*(F.when(part.rlike(f"[{residues}]"), F.struct(F.concat("kind", F.lit(f"-{name}")).alias("kind"), (F.col("mz") - F.lit(mass / SCALE) / F.col("charge")).alias("mz"))) for name, mass, residues in LOSSES))
+    rows = rows.withColumn("x", F.explode(F.array_compact(each)))
+    return rows.select(key, "x.kind", "number", "charge", "x.mz")

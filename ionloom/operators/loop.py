@@ -81,13 +81,13 @@ def with_loop(df: DataFrame, keys: list[str], features: list[str], order: list[s
     rows = numbered(df, keys, order)
     packed, pairs = prepared(rows, features, k, size)
     pdist = written(neighbours.of_nearest(packed, pairs, k, lambda b: extent * np.sqrt(b.mean(b.d2))), "pdist")
-    around = written(neighbours.of_nearest(packed, pairs, k, lambda b: b.mean(b.value), pdist), "around")
+    around = neighbours.of_nearest(packed, pairs, k, lambda b: b.mean(b.value), pdist)
     each = neighbours.unpacked(packed, pdist=pdist, around=around)
     each = written(each.select("grp", "row", F.when(F.col("around") > 0, F.col("pdist") / F.col("around") - 1).otherwise(0.0).alias("plof")), "plof")
     spread = each.groupBy("grp").agg((extent * F.sqrt(F.avg(F.col("plof") * F.col("plof")))).alias("nplof"))
     score = F.when(F.col("nplof") > 0, erf(F.greatest(F.col("plof"), F.lit(0.0)) / (F.col("nplof") * math.sqrt(2)))).otherwise(0.0)
     found = each.join(spread, "grp").select(F.col("row").alias("loop_row"), "plof", "nplof", score.alias("loop_score"))
-    discard(packed, pairs, pdist, around)
+    discard(packed, pairs, pdist)
     return rows.join(found, "loop_row", "left").select(*df.columns, "plof", "nplof", "loop_score")
 
 

@@ -13,14 +13,18 @@ def ms2_spectra(spectra: DataFrame) -> DataFrame:
     return spectra.where(F.col("ms_level") == 2)
 
 
-def charges(charge_state: Column, possible: Column, max_charge: int) -> Column:
+def charges(charge_state: Column, possible: Column, max_charge: int | Column) -> Column:
     """Given charges (all stated ones, then all possible ones, no deduplication), or 2..max_charge without any."""
+    if isinstance(max_charge, Column):
+        given = F.concat(F.coalesce(charge_state, F.array().cast("array<smallint>")), F.coalesce(possible, F.array().cast("array<smallint>")))
+        default = F.when(max_charge >= 2, F.sequence(F.lit(2), max_charge)).otherwise(F.array().cast("array<int>"))
+        return F.when(F.size(given) > 0, given).otherwise(default.cast("array<smallint>"))
     given = F.concat(F.coalesce(charge_state, F.array().cast("array<smallint>")), F.coalesce(possible, F.array().cast("array<smallint>")))
     default = F.sequence(F.lit(2), F.lit(max_charge)) if max_charge >= 2 else F.array()
     return F.when(F.size(given) > 0, given).otherwise(default.cast("array<smallint>"))
 
 
-def explode_precursors(spectra: DataFrame, max_charge: int = 6) -> DataFrame:
+def explode_precursors(spectra: DataFrame, max_charge: int | Column = 6) -> DataFrame:
     """One row for each (spectrum, precursor) in order; precursors without charge get the default charges."""
     given = lambda p: F.when(p["charge"].isNotNull(), F.array(p["charge"]))
     one = lambda p: F.transform(charges(given(p), F.lit(None).cast("array<smallint>"), max_charge), lambda z: F.struct(p["mz"].alias("mz"), z.alias("charge")))
@@ -37,14 +41,14 @@ def mass_int(mass: Column) -> Column:
     return F.round(mass * SCALE).cast("long")
 
 
-def ppm_low(mass: Column, ppm: int) -> Column:
+def ppm_low(mass: Column, ppm: int | Column) -> Column:
     """Lower bound in integer arithmetic, truncating, inclusive."""
     return mass - F.call_function("div", mass * ppm, F.lit(1_000_000))
 
 
-def ppm_high(mass: Column, ppm: int) -> Column:
+def ppm_high(mass: Column, ppm: int | Column) -> Column:
     return mass + F.call_function("div", mass * ppm, F.lit(1_000_000))
 
 
-def with_bounds(precursors: DataFrame, mass: str, lower_ppm: int, upper_ppm: int) -> DataFrame:
+def with_bounds(precursors: DataFrame, mass: str, lower_ppm: int | Column, upper_ppm: int | Column) -> DataFrame:
     return precursors.withColumns({"lo": ppm_low(F.col(mass), lower_ppm), "hi": ppm_high(F.col(mass), upper_ppm)})

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ionloom.constants import PROTON, SCALE, WATER, mass_int
+from ionloom.operators.fragments import LOSSES
 from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 from ionloom.operators.variable import TOKEN
 from ionloom.params import XcorrParams
@@ -24,7 +25,7 @@ from ionloom.params import XcorrParams
 _TOKEN, _MARK = re.compile(TOKEN), re.compile(r"\[v(-?[0-9]+)\]")
 #: Columns of a candidate, of its spectrum, and of the scores.
 CANDIDATE = "peptide string, is_target boolean, library_mass long"
-SPECTRUM = "uuid string, ms_run string, spectrum_id string, precursor_no int, precursor_mz double, charge int, precursor_da double"
+SPECTRUM = "uuid string, ms_run string, spectrum_id string, precursor_no int, precursor_mz double, charge int, precursor_da double, score_threshold double"
 SCORES = "xcorr double, ions_total long, ions_matched long"
 
 
@@ -39,6 +40,10 @@ def residue_masses(form: str, masses: dict[str, int]) -> np.ndarray:
     return np.array(out, np.int64)
 
 
+def residue_letters(form: str) -> np.ndarray:
+    return np.array(list(form) if "[" not in form else [_MARK.sub("", t).replace("-", "") for t in _TOKEN.findall(form)], str)
+
+
 class Spectrum:
     """Normalised heights of a spectrum's bins, and the score of any bin."""
 
@@ -105,7 +110,14 @@ def scored(rows: DataFrame, candidates: DataFrame, p: XcorrParams, mods: StaticM
             m = residue_masses(form, parts)
             prefix = np.cumsum(m)
             each = {"B": prefix[:-1] + n_bond, "Y": prefix[-1:] - prefix[:-1] + mass_int(WATER) + c_bond}
-            return np.concatenate([each[k] for k in kinds]) if len(m) > 1 else np.zeros(0, np.int64)
+            if len(m) < 2:
+                return np.zeros(0, np.int64)
+            out = [each[k] for k in kinds]
+            for _, mass, residues in LOSSES if p.use_neutral_loss_ions else ():
+                n = np.cumsum(np.isin(residue_letters(form), list(residues)))
+                has = {"B": n[:-1] > 0, "Y": n[-1] > n[:-1]}
+                out += [each[k][has[k]] - mass for k in kinds]
+            return np.concatenate(out)
 
         numbers = lambda values, i: np.array([np.nan if x is None else x for x in values[i].as_py() or []], float)
         scan, spectrum, meta = None, None, None
@@ -134,6 +146,7 @@ def scored(rows: DataFrame, candidates: DataFrame, p: XcorrParams, mods: StaticM
                     yield out.filter(some)
                 at = end
 
+    rows = rows if "score_threshold" in rows.columns else rows.withColumn("score_threshold", F.lit(None).cast("double"))
     null = lambda kind: F.lit(None).cast(kind)
     typed = [tuple(x.split()) for x in SPECTRUM.split(", ")]
     peaks = [("mz", "array<double>"), ("intensity", "array<double>")]

@@ -388,6 +388,19 @@ def fragment_ions_y(spark: SparkSession, d: str) -> DataFrame:
     return fragments.ions(rows, "key", ("Y",), 1).select(F.col("key").alias("sequence"), "number", F.round("mz", 5).alias("mz"))
 
 
+_LOSS = " UNION ALL ".join(
+    f"SELECT key AS sequence, '{kind}-{name}' AS kind, CAST({number} AS BIGINT) AS number, round({mass} / {SCALE} + {PROTON} - {loss / SCALE}, 5) AS mz FROM ({_PEP_IONS}) WHERE place < n AND regexp_matches({part}, '[{residues}]')"
+    for name, loss, residues in fragments.LOSSES
+    for kind, number, mass, part in (("B", "place", "prefix", "substr(key, 1, place)"), ("Y", "n - place", f"(whole - prefix + {mass_int(WATER)})", "substr(key, place + 1)"))
+)
+
+
+@query(_LOSS)
+def neutral_loss_ions(spark: SparkSession, d: str) -> DataFrame:
+    rows = V.peptides(spark, d).withColumn("key", F.col("sequence"))
+    return fragments.loss_ions(rows, "key").select(F.col("key").alias("sequence"), "kind", "number", F.round("mz", 5).alias("mz"))
+
+
 # a run's candidates are those of its precursors; the part's name is the peptide
 _RUN_PEPTIDES = f"SELECT DISTINCT run AS scan, peptide FROM ({_PAIRS})"
 _LIB_IONS = _ions_sql(f"SELECT DISTINCT peptide AS key, peptide AS sequence FROM ({V.LIBRARY})", "key")

@@ -25,16 +25,38 @@ from ionloom.sources.tables import within
 
 SCAN = ["uuid", "ms_run", "spectrum_id", "precursor_no"]
 #: Rounds of new decoys for scans that are still short, each with seeds of its own.
-DECOY_ROUNDS = 6
+DECOY_ROUNDS = 4
 UNIT = ["scan", "units"]
 
 
+#: What a search may set for itself, in a table with one row a search and version; nulls leave the run's value.
+BY_SEARCH = {"max_charge": "int", "lower_mass_tolerance_ppm": "int", "upper_mass_tolerance_ppm": "int", "max_variable_modifications": "int", "decoys_per_peptide": "int", "score_threshold": "double"}
+PARAMS = "uuid string, version long, " + ", ".join(f"{k} {v}" for k, v in BY_SEARCH.items())
+
+
+def latest_params(params: DataFrame) -> DataFrame:
+    """uuid and the values of each search's latest version."""
+    last = params.groupBy("uuid").agg(F.max_by(F.struct(*BY_SEARCH), "version").alias("p"))
+    return last.select("uuid", *(F.col(f"p.{c}").cast(kind).alias(c) for c, kind in BY_SEARCH.items()))
+
+
+def with_params(spectra: DataFrame, p: SearchParams, params: DataFrame | None = None) -> DataFrame:
+    """Spectra with the parameters of their search as columns: those of ``params`` (see ``PARAMS``) by uuid, else those of ``p``."""
+    own = {c: F.lit(getattr(p, c)).cast(kind) for c, kind in BY_SEARCH.items()}
+    if params is None:
+        return spectra.withColumns(own)
+    known = latest_params(params)
+    joined = spectra.join(known.select("uuid", *(F.col(c).alias(f"of_{c}") for c in BY_SEARCH)), "uuid", "left")
+    return joined.withColumns({c: F.coalesce(f"of_{c}", own[c]) for c in BY_SEARCH}).drop(*(f"of_{c}" for c in BY_SEARCH))
+
+
 def precursor_rows(spectra: DataFrame, p: SearchParams) -> DataFrame:
-    """Precursors with integer mass, bounds and one scan key."""
-    rows = precursors.explode_precursors(precursors.ms2_spectra(spectra), p.max_charge)
+    """Precursors with integer mass, bounds and one scan key; spectra may carry their search's parameters (``with_params``)."""
+    spectra = spectra if "lower_mass_tolerance_ppm" in spectra.columns else with_params(spectra, p)
+    rows = precursors.explode_precursors(precursors.ms2_spectra(spectra), F.col("max_charge"))
     rows = rows.withColumn("precursor_da", precursors.neutral_mass(F.col("precursor_mz"), F.col("charge"))).where("precursor_da > 0")
     rows = rows.withColumn("mass_int", precursors.mass_int(F.col("precursor_da"))).withColumn("scan", F.to_json(F.struct(*SCAN, "precursor_mz", "charge")))
-    return precursors.with_bounds(rows, "mass_int", p.lower_mass_tolerance_ppm, p.upper_mass_tolerance_ppm)
+    return precursors.with_bounds(rows, "mass_int", F.col("lower_mass_tolerance_ppm"), F.col("upper_mass_tolerance_ppm"))
 
 
 def spectrum_errors(spectra: DataFrame) -> DataFrame:
@@ -63,7 +85,7 @@ def _joined(residues: Column) -> Column:
     return F.concat_ws("", F.transform("units", lambda u: F.get(residues, u)))
 
 
-def _new_decoys(short: DataFrame, library: DataFrame, p: SearchParams, seed: int, mods: StaticModifications, variable: tuple[V.VariableModification, ...]) -> DataFrame:
+def _new_decoys(short: DataFrame, library: DataFrame, most: int, seed: int, mods: StaticModifications, variable: tuple[V.VariableModification, ...]) -> DataFrame:
     """Generated decoys for (scan, units, delta, mass_int, lo, hi, missing): some more than missing, without targets, with one form each."""
     # where the modifications of a scan's targets need a residue, its decoys have it as well
     at = {c: F.array(*(F.lit(v.residue if v.position == place else "") for v in variable)) for c, place in (("needs", "Anywhere"), ("first", "Terminus_N"), ("last", "Terminus_C"))} if variable else {}
@@ -73,7 +95,7 @@ def _new_decoys(short: DataFrame, library: DataFrame, p: SearchParams, seed: int
     D.register(short.sparkSession, mods)
     made = short.sparkSession.sql("SELECT scan, units, delta, missing, nr, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(asked AS INT), needs, first, last)", wanted=wanted)
     made = C.without_targets(made, library).withColumn("library_mass", sequence_mass(F.col("sequence"), mods) + F.col("delta"))
-    return V.one_form(made, "sequence", variable, p.max_variable_modifications if variable else 0, F.xxhash64("scan", "sequence"), mods)
+    return V.one_form(made, "sequence", variable, most, F.xxhash64("scan", "sequence"), mods)
 
 
 def _first_of_scan(rows: DataFrame, limit: str) -> DataFrame:
@@ -88,11 +110,15 @@ def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass:
     Masses include the modifications.  Of each scan and combination of variable modifications, decoys are counted by its targets: known ones first
     (``cached``: sequence), then new ones in rounds, until none is short or the rounds are over; what is missing then is told in ``short``.
     """
-    width = C.bin_width(max_mass, p.lower_mass_tolerance_ppm, p.upper_mass_tolerance_ppm)
-    most = p.max_variable_modifications if variable else 0
-    windows = V.shifted_windows(rows.select("scan", "mass_int", "lo", "hi"), variable, most)
+    if "decoys_per_peptide" not in rows.columns:
+        rows = rows.withColumns({c: F.lit(getattr(p, c)) for c in BY_SEARCH if c not in rows.columns})
+    # one row: the masses at hand, and the widest of what the searches ask for
+    ends = rows.agg(F.min("lo").alias("least"), F.max("hi").alias("most"), F.max("lower_mass_tolerance_ppm").alias("lower"), F.max("upper_mass_tolerance_ppm").alias("upper"), F.max("max_variable_modifications").alias("sites"), F.max("decoys_per_peptide").alias("decoys")).first()
+    width = C.bin_width(max_mass, ends.lower or 0, ends.upper or 0)
+    most = (ends.sites or 0) if variable else 0
+    windows = V.shifted_windows(rows.select("scan", "mass_int", "lo", "hi", "max_variable_modifications", "decoys_per_peptide"), variable, most)
+    windows = windows.where(F.size("units") <= F.greatest("max_variable_modifications", F.lit(0)))
     if mods == UNMODIFIED and not variable:
-        ends = rows.agg(F.min("lo").alias("least"), F.max("hi").alias("most")).first()
         library_rows = within(library, ends.least or 0, ends.most or 0)
     else:  # the library's masses are those without modifications
         library_rows = library
@@ -101,12 +127,13 @@ def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass:
     targets = V.forms(C.mass_window_join(windows, peptides, width), "peptide", variable, most, mods)
     targets = targets.select(*UNIT, F.col("form").alias("peptide"), (F.col("library_mass") + F.col("delta")).alias("library_mass"))
     targets = written(targets, "targets")
-    if not p.decoys_per_peptide:
+    if not ends.decoys:
         return SearchSpace(targets.drop("units").withColumn("is_target", F.lit(True)), scratch=(targets,))
-    counts = targets.groupBy(*UNIT).agg((F.count(F.lit(1)) * p.decoys_per_peptide).alias("needed"))
-    needed = written(windows.join(counts, UNIT), "needed")
+    counts = targets.groupBy(*UNIT).agg(F.count(F.lit(1)).alias("targets"))
+    needed = windows.join(counts, UNIT).withColumn("needed", F.col("targets") * F.col("decoys_per_peptide")).drop("targets", "decoys_per_peptide", "max_variable_modifications")
+    needed = written(needed.where("needed > 0"), "needed")
     none = needed.select(*UNIT, F.lit("").alias("sequence"), F.lit("").alias("form"), F.lit(0).cast("long").alias("library_mass"), F.lit(False).alias("new")).limit(0)
-    parts = [written(none, "decoys")]
+    parts = [none]
     if cached is not None:
         pool = C.without_targets(cached.select("sequence"), library).distinct().select("sequence", sequence_mass(F.col("sequence"), mods).alias("pool_mass"))
         known = C.mass_window_join(needed, pool, width, "pool_mass").withColumn("library_mass", F.col("pool_mass") + F.col("delta"))
@@ -121,13 +148,13 @@ def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass:
         scratch.append(short)
         if n == DECOY_ROUNDS or short.isEmpty():
             break
-        made = _new_decoys(short, library, p, seed + n * 1_000_003, mods, variable).join(have.select(*UNIT, "form"), [*UNIT, "form"], "left_anti")
+        made = _new_decoys(short, library, most, seed + n * 1_000_003, mods, variable).join(have.select(*UNIT, "form"), [*UNIT, "form"], "left_anti")
         parts.append(written(_first_of_scan(made.withColumn("new", F.lit(True)), "missing"), "decoys"))
     have = reduce(DataFrame.unionAll, parts)
     all_rows = C.union_candidates(targets.drop("units"), have.select("scan", F.col("form").alias("peptide"), "library_mass"))
     new = have.where("new").select("sequence").distinct()
     new = new.select(sequence_mass(F.col("sequence"), mods).alias("mass"), "sequence", missed_cleavages(F.col("sequence")).cast("short").alias("missed_cleavages"))
-    return SearchSpace(all_rows, new, short, (*scratch, *parts))
+    return SearchSpace(all_rows, new, short, (*scratch, *parts[1:]))
 
 
 def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> DataFrame:
@@ -137,11 +164,11 @@ def candidate_rows(rows: DataFrame, library: DataFrame, p: SearchParams, max_mas
 
 def match_rows(rows: DataFrame, candidates: DataFrame, p: SearchParams, mods: StaticModifications = UNMODIFIED) -> DataFrame:
     """One row for each scan and candidate with xcorr, ion counts and features."""
-    if p.xcorr.use_neutral_loss_ions:
-        raise ValueError("neutral-loss ions aren't scored")
-    out = scan_scores.scored(rows.select("scan", *SCAN, "precursor_mz", "charge", "precursor_da", "mz", "intensity"), candidates, p.xcorr, mods)
+    limit = F.coalesce("score_threshold", F.lit(float("-inf"))) if "score_threshold" in rows.columns else F.lit(p.score_threshold)
+    spectra = rows.select("scan", *SCAN, "precursor_mz", "charge", "precursor_da", limit.alias("score_threshold"), "mz", "intensity")
+    out = scan_scores.scored(spectra, candidates, p.xcorr, mods).where("xcorr >= score_threshold")
     out = out.select(*SCAN, F.col("spectrum_id").alias("scan_id"), "peptide", "is_target", F.col("charge").cast("short").alias("charge"), "precursor_mz", "precursor_da", F.col("precursor_da").alias("experimental_mass"), "xcorr", "ions_total", "ions_matched", (F.col("library_mass") / 1_000_000).alias("theoretical_mass"), F.lit(None).cast("double").alias("second_theoretical_mass"))
-    return features.with_features(features.above_threshold(out, p.score_threshold))
+    return features.with_features(out)
 
 
 @dataclass(frozen=True)
@@ -160,10 +187,13 @@ class Found:
         discard(self.spectra, *self.space.scratch)
 
 
-def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> Found:
-    """A whole search over ``spectra``, which are read once; ``max_mass`` bounds the integer masses of precursors."""
+def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = (), params: DataFrame | None = None) -> Found:
+    """A whole search over ``spectra``, which are read once; ``max_mass`` bounds the integer masses of precursors.
+
+    ``params`` (see ``PARAMS``) gives searches values of their own, so spectra of unlike searches go through one batch.
+    """
     began = time.monotonic()
-    stored = written(spectra, "spectra")
+    stored = written(with_params(spectra, p, params) if params is not None else spectra, "spectra")
     rows = precursor_rows(stored, p)
     read = time.monotonic()
     space = search_space(rows, library, p, max_mass, seed, mods, cached, variable)

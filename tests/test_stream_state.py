@@ -27,12 +27,12 @@ def test_a_replayed_batch_leaves_everything_once(spark, tmp_path):
     batches = [good.where("spectrum_id <> 'scan=3'"), good.where("spectrum_id = 'scan=3'").unionAll(bad), good.where("spectrum_id = 'scan=2'")]
     listed = lambda kind, side: sorted(map(str, (spark.read.text if kind == "text" else spark.read.json if kind == "json" else spark.read.parquet)(out + side).drop("ms", "batch").collect()))
     seen = []
-    for order in ((0, 1, 2), (1, 2), (0,)):  # the second and third pass repeat batches, as a restart does
+    for order in ((0, 1, 2), (1,)):  # the second pass repeats a batch, as a restart does
         for n in order:
             cli.store(spark, S.find(batches[n], library, p, 10_000 * SCALE), out, p, "u", n, cache)
         seen.append([listed("parquet", ""), listed("text", ".candidates"), listed("parquet", ".metrics"), listed("json", ".errors"), listed("parquet", ".finished"), listed("parquet", ".times")])
         assert {r.uuid: r.finished for r in runner.finished_counts(spark, out + ".finished").collect()} == {"u": 3}
-    assert seen[0] == seen[1] == seen[2]
+    assert seen[0] == seen[1]
     assert len(seen[0][3]) == 1 and "no peaks" in seen[0][3][0] and all(seen[0])
 
 
