@@ -124,8 +124,14 @@ def _unpack(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _compress(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """key, doc_id and packed text; of equal rows of a slice the first one."""
     c = zs.ZstdCompressor(level=1)
     for batch in slices(batches):
+        seen, first = set(), []
+        for row in zip(batch.column("key").to_pylist(), batch.column("doc_id").to_pylist(), strict=True):
+            first.append(row not in seen)
+            seen.add(row)
+        batch = batch.filter(pa.array(first))
         z = pa.array([c.compress(t.encode("utf-8", "surrogatepass")) for t in batch.column("text").to_pylist()], pa.binary())
         yield pa.RecordBatch.from_arrays([batch.column("key"), batch.column("doc_id"), z], ["key", "doc_id", "z"])
 
@@ -380,7 +386,10 @@ def repeated_spans(docs: DataFrame, p: SuffixParams = SuffixParams()) -> DataFra
     classes = written(classes, "suffix-classes")
     # by key and doc_id, so that the copies of one text are dealt out evenly
     small = rows.mapInArrow(_compress, "key binary, doc_id long, z binary")
-    ones = small.join(classes, (small.key == classes.key) & small.doc_id.eqNullSafe(classes.one), "left_semi")
+    name = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias("id")
+    ones = small.select("key", name("doc_id"), "z").join(classes.select("key", name("one")), ["key", "id"], "left_semi")
+    # rows of one text under one id (or none) are one row; they lie in one partition already
+    ones = ones.dropDuplicates(["key", "id"])
     texts = written(ones.select("key", F.monotonically_increasing_id().alias("tid"), "z"), "suffix-texts")
 
     found = texts.select("tid", "z").mapInArrow(_anchor_rows(p), "g long, tid long, x long")
