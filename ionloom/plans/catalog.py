@@ -208,6 +208,15 @@ def psm_features(spark: SparkSession, d: str) -> DataFrame:
     return FE.with_features(V.psms(spark, d)).select("scan", "line", F.round("ions_matched_ratio", 6).alias("ions_matched_ratio"), F.round("mass_error", 8).alias("mass_error"))
 
 
+@query(
+    f"SELECT scan, line, CAST(unnest([0, 1, 2]) AS INTEGER) AS feature, round(unnest([xcorr, ions_matched / ions_total, abs(experimental_mass - theoretical_mass)]), 8) AS value FROM ({V.PSMS})"
+)
+def feature_array(spark: SparkSession, d: str) -> DataFrame:
+    """The feature vector of every match, one row a feature."""
+    rows = FE.feature_array(FE.with_features(V.psms(spark, d)))
+    return rows.select("scan", "line", F.posexplode("features").alias("feature", "value")).withColumn("value", F.round("value", 8))
+
+
 @query(f"SELECT scan, line, xcorr FROM ({V.PSMS}) WHERE xcorr >= 50000")
 def psm_threshold(spark: SparkSession, d: str) -> DataFrame:
     return FE.above_threshold(V.psms(spark, d), 50000).select("scan", "line", "xcorr")
