@@ -105,6 +105,15 @@ def _seated(k: int) -> Column:
     return F.flatten(F.transform("placements", grown))
 
 
+def may_fit(hits: DataFrame, sequence: str, variable: tuple[VariableModification, ...]) -> DataFrame:
+    """The hits whose sequence has each residue that their units need, a cheap test before places are written out."""
+    for i, v in enumerate(variable):
+        if v.residue:
+            has = {"Terminus_N": F.startswith, "Terminus_C": F.endswith}.get(v.position, F.contains)(F.col(sequence), F.lit(v.residue))
+            hits = hits.where(~F.array_contains("units", i) | has)
+    return hits
+
+
 def form_of(sequence: Column, units: Column, places: Column, variable: tuple[VariableModification, ...]) -> Column:
     """The sequence with a mark behind each modified residue."""
     if not variable:
@@ -123,13 +132,13 @@ def form_of(sequence: Column, units: Column, places: Column, variable: tuple[Var
 
 def forms(hits: DataFrame, sequence: str, variable: tuple[VariableModification, ...], most: int, mods: StaticModifications = UNMODIFIED) -> DataFrame:
     """``form`` of every placement of the hit's ``units``; hits without a place for them go."""
-    rows = with_placements(hits, sequence, variable, most, mods).withColumn("places", F.explode("placements"))
+    rows = with_placements(may_fit(hits, sequence, variable), sequence, variable, most, mods).withColumn("places", F.explode("placements"))
     return rows.withColumn("form", form_of(F.col(sequence), F.col("units"), F.col("places"), variable)).drop("placements", "places")
 
 
 def one_form(hits: DataFrame, sequence: str, variable: tuple[VariableModification, ...], most: int, pick: Column, mods: StaticModifications = UNMODIFIED) -> DataFrame:
     """``form`` of one placement, chosen by the number ``pick``; hits without a place for their units go."""
-    rows = with_placements(hits, sequence, variable, most, mods).where(F.size("placements") > 0)
+    rows = with_placements(may_fit(hits, sequence, variable), sequence, variable, most, mods).where(F.size("placements") > 0)
     places = F.get("placements", F.pmod(pick, F.size("placements")).cast("int"))
     return rows.withColumn("form", form_of(F.col(sequence), F.col("units"), places, variable)).drop("placements")
 
