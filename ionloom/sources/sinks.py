@@ -43,7 +43,7 @@ def fasta(candidates: DataFrame, keys: list[str], order: list[str]) -> DataFrame
 
 
 def write_fasta(candidates: DataFrame, path: str, keys: list[str], order: list[str]) -> None:
-    fasta(candidates, keys, order).select(F.rtrim(F.lit("\n"), F.col("entry")).alias("value")).write.mode("overwrite").text(path)
+    fasta(candidates, keys, order).select(F.rtrim(F.col("entry"), F.lit("\n")).alias("value")).write.mode("overwrite").text(path)
 
 
 def metrics_long(df: DataFrame, keys: list[str], values: dict[str, Column]) -> DataFrame:
