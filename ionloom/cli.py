@@ -16,7 +16,7 @@ from ionloom.operators.precursors import with_bounds
 from ionloom.params import SearchParams
 from ionloom.plans.search import PARAMS, SCAN, Found, find
 from ionloom.session import session
-from ionloom.sources import mzml, sinks, tables
+from ionloom.sources import layout, mzml, sinks, tables
 from ionloom.streaming import runner
 
 VERSION = "0.1.0"
@@ -62,6 +62,7 @@ def main(argv: list[str] | None = None) -> int:
     x.add_argument("sequences")
     x.add_argument("out")
     x.add_argument("--bin-dalton", type=float, default=1.0)
+    x.add_argument("--partitions", type=int, help="folders by quantiles of the masses instead, with a configuration row and a filter of the sequences")
     x = sub.add_parser("search-space-build", help="FASTA of the targets in a mass window")
     x.add_argument("library")
     x.add_argument("mass", type=int, help="integer mass")
@@ -105,13 +106,18 @@ def main(argv: list[str] | None = None) -> int:
     if a.command == "database-build":
         rows = spark.read.text(a.sequences).select(F.col("value").alias("sequence")).where("sequence <> ''").distinct()
         rows = rows.select(sequence_mass(F.col("sequence")).alias("mass"), "sequence", missed_cleavages(F.col("sequence")).cast("short").alias("missed_cleavages"))
-        tables.write_library(rows, a.out, int(a.bin_dalton * constants.SCALE))
+        if a.partitions:
+            layout.write_laid_out(rows, a.out, a.partitions)
+        else:
+            tables.write_library(rows, a.out, int(a.bin_dalton * constants.SCALE))
     elif a.command == "search-space-build":
         sp = _params(a.params)
         rows = with_bounds(spark.range(1).select(F.lit(a.mass).cast("long").alias("m")), "m", sp.lower_mass_tolerance_ppm, sp.upper_mass_tolerance_ppm)
         least, most = a.mass - a.mass * sp.lower_mass_tolerance_ppm // 1_000_000, a.mass + a.mass * sp.upper_mass_tolerance_ppm // 1_000_000
         width = C.bin_width(a.mass * 2, sp.lower_mass_tolerance_ppm, sp.upper_mass_tolerance_ppm)
-        found = C.mass_window_join(rows, tables.read_library(spark, a.library, most, least), width, "mass").select("m", F.col("sequence").alias("peptide"), F.lit(True).alias("is_target"))
+        known = layout.read_layout(spark, a.library)
+        library = tables.read_library(spark, a.library, most, least) if known is None else layout.between(tables.read_library(spark, a.library), known.limits, least, most)
+        found = C.mass_window_join(rows, library, width, "mass").select("m", F.col("sequence").alias("peptide"), F.lit(True).alias("is_target"))
         sinks.write_fasta(found, a.out, ["m"], ["peptide"])
     elif a.command == "index-spectrum-file" and a.places:
         mzml.write_places(mzml.spectrum_places(spark, a.mzml, a.without_ms2), a.out)
@@ -126,13 +132,13 @@ def main(argv: list[str] | None = None) -> int:
             print(r.mzml, end="")
     elif a.command in ("local-run", "remote-run"):
         sp, most, name = _params(a.params), a.max_dalton * constants.SCALE, a.uuid or str(uuid4())
-        library = tables.read_library(spark, a.library)
+        library, laid_out = tables.read_library(spark, a.library), layout.read_layout(spark, a.library)
         mods, moving = ptm.UNMODIFIED, ()
         if a.ptms:
             ptms = tables.read_ptms(spark, a.ptms)
             mods, moving = ptm.static_modifications(ptms.where("mod_type <> 'Variable'")), variable.variable_modifications(ptms)
         known = lambda: sinks.read_decoys(spark, a.decoys) if a.decoys and sinks.exists(spark, a.decoys) else None
-        step = lambda df: find(df, library, sp, most, mods=mods, cached=known(), variable=moving, params=spark.read.schema(PARAMS).parquet(a.search_params) if a.search_params else None)
+        step = lambda df: find(df, library, sp, most, mods=mods, cached=known(), variable=moving, params=spark.read.schema(PARAMS).parquet(a.search_params) if a.search_params else None, layout=laid_out)
         if a.command == "remote-run":
             arriving = mzml.watch_spectra(spark, a.spectra, name) if a.format == "mzml" else runner.watch_spectra(spark, a.spectra)
             listener = runner.Progress(lambda row: print(f"batch {row['batch']}: {row['rows']} rows in {row['ms']} ms", flush=True)) if a.follow else None

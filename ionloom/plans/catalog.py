@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from ionloom.constants import PROTON, RESIDUES, SCALE, WATER, mass_int
 from ionloom.functions import naming, sequence
 from ionloom.operators import candidates as C
-from ionloom.operators import decoys, fdr, fragments, loop, ptm, scan_scores, variable, xcorr
+from ionloom.operators import decoys, fdr, fragments, loop, membership, ptm, scan_scores, variable, xcorr
 from ionloom.operators import features as FE
 from ionloom.operators import precursors as P
 from ionloom.params import SearchParams, XcorrParams
 from ionloom.plans import views as V
 from ionloom.plans.search import search_space
 from ionloom.session import written
-from ionloom.sources import sinks
+from ionloom.sources import layout, sinks
 from ionloom.sources.tables import run_listing
 from ionloom.streaming import runner
 
@@ -106,6 +106,27 @@ def charge_state_conflicts(spark: SparkSession, d: str) -> DataFrame:
     return counts.groupBy("charge").agg(F.count(F.lit(1)).alias("scans"), F.sum("n").alias("candidates"))
 
 
+#: Folders of the library by quantiles; exact ones where the sketch has room for all masses.
+PARTITIONS = 8
+_LIMITS = f"SELECT k, min(library_mass) AS mass_limit FROM (SELECT library_mass, row_number() OVER (ORDER BY library_mass) AS nr, count(*) OVER () AS n FROM ({V.LIBRARY})), range(1, {PARTITIONS}) t(k) WHERE nr * {PARTITIONS} >= k * n GROUP BY k"
+_LAYOUT = f"""WITH limits AS (SELECT DISTINCT mass_limit FROM ({_LIMITS})), ordered AS (SELECT list(mass_limit ORDER BY mass_limit) AS l FROM limits),
+  lib AS (SELECT len(list_filter(l, lambda x: x < library_mass)) AS p, library_mass FROM ({V.LIBRARY}), ordered),
+  win AS (SELECT len(list_filter(l, lambda x: x < lo)) AS a, len(list_filter(l, lambda x: x < hi)) AS b FROM ({_BOUNDS}), ordered WHERE lo <= hi),
+  met AS (SELECT p, count(*) AS windows FROM (SELECT unnest(range(a, b + 1)) AS p FROM win) GROUP BY p)
+  SELECT CAST(lib.p AS BIGINT) AS partition, count(*) AS peptides, max(library_mass) AS most, max(coalesce(windows, 0)) AS windows FROM lib LEFT JOIN met USING (p) GROUP BY lib.p"""
+
+
+@query(_LAYOUT)
+def library_partitions(spark: SparkSession, d: str) -> DataFrame:
+    """Peptides of each folder by mass quantiles, and the windows that meet it."""
+    library = V.library(spark, d)
+    limits = layout.quantile_limits(library, PARTITIONS, "library_mass", 1_000_000)
+    rows = library.groupBy(layout.partition_of(F.col("library_mass"), limits).alias("partition")).agg(F.count(F.lit(1)).alias("peptides"), F.max("library_mass").alias("most"))
+    ends = [layout.partition_of(F.col(c), limits) for c in ("lo", "hi")]
+    met = _bounded(spark, d).where("lo <= hi").select(F.explode(F.sequence(*ends)).alias("partition")).groupBy("partition").agg(F.count(F.lit(1)).alias("windows"))
+    return rows.join(met, "partition", "left").withColumn("windows", F.coalesce("windows", F.lit(0)))
+
+
 _DECOYS = f"SELECT sequence FROM ({V.PEPTIDES})"
 _TARGETS = "SELECT DISTINCT upper(regexp_replace(p_name, '[^a-z]', '', 'g')) AS sequence FROM part UNION SELECT DISTINCT upper(w) FROM (SELECT unnest(string_split(text, ' ')) AS w FROM benchmark) WHERE regexp_matches(w, '^[A-Za-z]+$')"
 
@@ -222,6 +243,18 @@ def psm_threshold(spark: SparkSession, d: str) -> DataFrame:
     return FE.above_threshold(V.psms(spark, d), 50000).select("scan", "line", "xcorr")
 
 
+@query(ORACLES["decoy_target_antijoin"])
+def decoy_target_bloom(spark: SparkSession, d: str) -> DataFrame:
+    targets = written(_targets(spark, d), "targets")
+    return membership.without_known(V.peptides(spark, d), targets, membership.build_filter(targets))
+
+
+@query(ORACLES["target_semijoin"])
+def target_bloom(spark: SparkSession, d: str) -> DataFrame:
+    targets = written(_targets(spark, d), "targets")
+    return membership.only_known(V.peptides(spark, d), targets, membership.build_filter(targets))
+
+
 @query(f"SELECT scan, line, xcorr FROM ({V.PSMS}) ORDER BY xcorr DESC, scan DESC, line DESC LIMIT 100")
 def psm_sort_topk(spark: SparkSession, d: str) -> DataFrame:
     rows = V.psms(spark, d).withColumn("seq_no", F.struct("scan", "line"))

@@ -17,10 +17,12 @@ from ionloom.functions.sequence import annotated, missed_cleavages, sequence_mas
 from ionloom.operators import candidates as C
 from ionloom.operators import decoys as D
 from ionloom.operators import features, loop, precursors, scan_scores
+from ionloom.operators import membership as M
 from ionloom.operators import variable as V
 from ionloom.operators.ptm import UNMODIFIED, StaticModifications
 from ionloom.params import SearchParams
 from ionloom.session import discard, written
+from ionloom.sources.layout import Layout, touched
 from ionloom.sources.tables import within
 
 SCAN = ["uuid", "ms_run", "spectrum_id", "precursor_no"]
@@ -85,7 +87,11 @@ def _joined(residues: Column) -> Column:
     return F.concat_ws("", F.transform("units", lambda u: F.get(residues, u)))
 
 
-def _new_decoys(short: DataFrame, library: DataFrame, most: int, seed: int, mods: StaticModifications, variable: tuple[V.VariableModification, ...]) -> DataFrame:
+def _without_library(rows: DataFrame, library: DataFrame, layout: Layout | None) -> DataFrame:
+    return C.without_targets(rows, library) if layout is None else M.without_known(rows, library, layout.known)
+
+
+def _new_decoys(short: DataFrame, library: DataFrame, most: int, seed: int, mods: StaticModifications, variable: tuple[V.VariableModification, ...], layout: Layout | None = None, scratch: list[DataFrame] | None = None) -> DataFrame:
     """Generated decoys for (scan, units, delta, mass_int, lo, hi, missing): some more than missing, without targets, with one form each."""
     # where the modifications of a scan's targets need a residue, its decoys have it as well
     at = {c: F.array(*(F.lit(v.residue if v.position == place else "") for v in variable)) for c, place in (("needs", "Anywhere"), ("first", "Terminus_N"), ("last", "Terminus_C"))} if variable else {}
@@ -94,7 +100,10 @@ def _new_decoys(short: DataFrame, library: DataFrame, most: int, seed: int, mods
     wanted = short.select(*UNIT, "delta", F.xxhash64("scan", F.to_json("units"), F.lit(seed)).alias("seed"), "mass_int", "lo", "hi", "missing", asked.alias("asked"), *(e.alias(c) for c, e in residues.items()))
     D.register(short.sparkSession, mods)
     made = short.sparkSession.sql("SELECT scan, units, delta, missing, nr, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(asked AS INT), needs, first, last)", wanted=wanted)
-    made = C.without_targets(made, library).withColumn("library_mass", sequence_mass(F.col("sequence"), mods) + F.col("delta"))
+    if layout is not None:  # read more than once behind the filter
+        made = written(made, "made")
+        scratch.append(made)
+    made = _without_library(made, library, layout).withColumn("library_mass", sequence_mass(F.col("sequence"), mods) + F.col("delta"))
     return V.one_form(made, "sequence", variable, most, F.xxhash64("scan", "sequence"), mods)
 
 
@@ -104,11 +113,12 @@ def _first_of_scan(rows: DataFrame, limit: str) -> DataFrame:
     return rows.withColumn("place", F.row_number().over(Window.partitionBy(*UNIT).orderBy("nr", "form"))).where(F.col("place") <= F.col(limit)).select(*UNIT, "sequence", "form", "library_mass", "new")
 
 
-def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = ()) -> SearchSpace:
+def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = (), layout: Layout | None = None) -> SearchSpace:
     """scan, peptide, theoretical mass and is_target: forms of library peptides in the window, and decoys that are no targets.
 
     Masses include the modifications.  Of each scan and combination of variable modifications, decoys are counted by its targets: known ones first
-    (``cached``: sequence), then new ones in rounds, until none is short or the rounds are over; what is missing then is told in ``short``.
+    (``cached``: sequence), then new ones in rounds, until none is short or the rounds are over; what is missing then is told in ``short``.  With the library's ``layout`` only the folders that windows meet are
+    read, and its filter keeps decoys that are no targets from the exact lookup.
     """
     if "decoys_per_peptide" not in rows.columns:
         rows = rows.withColumns({c: F.lit(getattr(p, c)) for c in BY_SEARCH if c not in rows.columns})
@@ -118,7 +128,9 @@ def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass:
     most = (ends.sites or 0) if variable else 0
     windows = V.shifted_windows(rows.select("scan", "mass_int", "lo", "hi", "max_variable_modifications", "decoys_per_peptide"), variable, most)
     windows = windows.where(F.size("units") <= F.greatest("max_variable_modifications", F.lit(0)))
-    if mods == UNMODIFIED and not variable:
+    if mods == UNMODIFIED and layout is not None:  # moved windows name masses without modifications, so they prune as well
+        library_rows = touched(library, windows, layout.limits)
+    elif mods == UNMODIFIED and not variable:
         library_rows = within(library, ends.least or 0, ends.most or 0)
     else:  # the library's masses are those without modifications
         library_rows = library
@@ -135,7 +147,7 @@ def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass:
     none = needed.select(*UNIT, F.lit("").alias("sequence"), F.lit("").alias("form"), F.lit(0).cast("long").alias("library_mass"), F.lit(False).alias("new")).limit(0)
     parts = [none]
     if cached is not None:
-        pool = C.without_targets(cached.select("sequence"), library).distinct().select("sequence", sequence_mass(F.col("sequence"), mods).alias("pool_mass"))
+        pool = _without_library(cached.select("sequence"), library, layout).distinct().select("sequence", sequence_mass(F.col("sequence"), mods).alias("pool_mass"))
         known = C.mass_window_join(needed, pool, width, "pool_mass").withColumn("library_mass", F.col("pool_mass") + F.col("delta"))
         known = V.one_form(known, "sequence", variable, most, F.xxhash64("scan", "sequence"), mods)
         parts.append(written(_first_of_scan(known.withColumns({"nr": F.lit(0), "new": F.lit(False)}), "needed"), "decoys"))
@@ -148,7 +160,7 @@ def search_space(rows: DataFrame, library: DataFrame, p: SearchParams, max_mass:
         scratch.append(short)
         if n == DECOY_ROUNDS or short.isEmpty():
             break
-        made = _new_decoys(short, library, most, seed + n * 1_000_003, mods, variable).join(have.select(*UNIT, "form"), [*UNIT, "form"], "left_anti")
+        made = _new_decoys(short, library, most, seed + n * 1_000_003, mods, variable, layout, scratch).join(have.select(*UNIT, "form"), [*UNIT, "form"], "left_anti")
         parts.append(written(_first_of_scan(made.withColumn("new", F.lit(True)), "missing"), "decoys"))
     have = reduce(DataFrame.unionAll, parts)
     all_rows = C.union_candidates(targets.drop("units"), have.select("scan", F.col("form").alias("peptide"), "library_mass"))
@@ -187,7 +199,7 @@ class Found:
         discard(self.spectra, *self.space.scratch)
 
 
-def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = (), params: DataFrame | None = None) -> Found:
+def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int, seed: int = 0, mods: StaticModifications = UNMODIFIED, cached: DataFrame | None = None, variable: tuple[V.VariableModification, ...] = (), params: DataFrame | None = None, layout: Layout | None = None) -> Found:
     """A whole search over ``spectra``, which are read once; ``max_mass`` bounds the integer masses of precursors.
 
     ``params`` (see ``PARAMS``) gives searches values of their own, so spectra of unlike searches go through one batch.
@@ -196,7 +208,7 @@ def find(spectra: DataFrame, library: DataFrame, p: SearchParams, max_mass: int,
     stored = written(with_params(spectra, p, params) if params is not None else spectra, "spectra")
     rows = precursor_rows(stored, p)
     read = time.monotonic()
-    space = search_space(rows, library, p, max_mass, seed, mods, cached, variable)
+    space = search_space(rows, library, p, max_mass, seed, mods, cached, variable, layout)
     seconds = {"spectra": read - began, "search_space_generation": time.monotonic() - read}
     began = time.monotonic()
     scored = written(match_rows(rows, space.candidates, p, mods), "matches")
