@@ -2,9 +2,9 @@
 
 For every item length (in words) all windows of that many words are candidates if enough of their shingles occur in the
 benchmark at all; with fewer, the similarity cannot reach the threshold, so this loses nothing.  A window's SimHash sums
-the 128 signs of its shingles, each as often as it occurs.  Items of that length are indexed by ``radius`` + 1 blocks of
-fingerprint bits: two fingerprints within the radius agree on one block at least, so the block tables return all of
-them.  Survivors of the Hamming test are verified by the exact weighted-shingle similarity: the sum of the smaller
+the 128 signs of its shingles, each as often as it occurs.  Items of that length are indexed by 64 blocks of fingerprint bits: two
+fingerprints within the radius differ in no more blocks than bits, so entries that agree on 28 blocks are all that can be within it, and
+about one in a thousand others agrees on as many.  Survivors of the Hamming test are verified by the exact weighted-shingle similarity: the sum of the smaller
 counts over the sum of the larger ones, at least 0.8.
 
 A text with fewer words than the item is one clipped window, the whole text.  There is one a text and item length, so it needs
@@ -13,8 +13,9 @@ no fingerprint: an inverted index of the items' shingles counts what they share,
 With 0.8 a pair's signs differ with probability 0.152, 19.4 bits on average (deviation 4.1); a radius of 36 misses about one
 borderline pair in 50,000, and no copy.
 
-Scale: one pass over the documents without a shuffle.  The benchmark goes to the tasks in blocks of ``block_items`` items, one
-pass and one broadcast of that bounded size for each block.
+Scale: one pass over the documents without a shuffle.  The benchmark goes to the tasks in blocks of ``block_items`` items and
+``block_bytes`` of text at most, one pass and one broadcast of that bounded size for each block; an item whose texts fill several
+blocks is merged by one aggregation of the hits.
 
 Edge cases: null text on either side matches nothing; items with fewer words than a shingle are one shingle and must occur as
 they are; an item_id gives one row a document, with the best window over all its texts; repeated documents are found one by one; a null doc_id stays null; extra columns are ignored by
@@ -36,6 +37,7 @@ from pyspark.sql import functions as F
 from ionloom.llm.common import slices, table, written
 
 HITS = "doc_id long, item_id long, similarity double, first_word long, n_words long"
+FOUND = HITS + ", digest string"
 _U = np.uint64
 
 
@@ -45,6 +47,8 @@ class DecontaminationParams:
     threshold: float = 0.8
     radius: int = 36
     block_items: int = 50_000
+    block_bytes: int = 16 << 20
+    index_blocks: int = 64
     bitmap_log2: int = 22
 
 
@@ -87,32 +91,44 @@ def similarity(a: np.ndarray, b: np.ndarray) -> float:
 
 
 class BlockIndex:
-    """Fingerprints by the bits of radius + 1 blocks."""
+    """Fingerprints by the values of their blocks of bits: for every block the entries in order of its value.
 
-    def __init__(self, prints: np.ndarray, radius: int):
+    Two fingerprints within the radius differ in that many blocks at most, so of ``blocks`` blocks at least ``blocks`` - radius agree.  Entries are
+    counted over the query's value in every block; no entry within the radius has fewer, and few of the others have as many: with 64 blocks of
+    2 bits a random entry agrees on 16 (deviation 3.5), and a radius of 36 asks for 28.
+    """
+
+    def __init__(self, prints: np.ndarray, radius: int, blocks: int = 64):
         self.prints, self.radius = prints, radius
         bits = np.unpackbits(prints.view(np.uint8), axis=1)
-        self.cuts = np.array_split(np.arange(bits.shape[1]), min(radius + 1, bits.shape[1]))
-        self.tables = []
-        for cut in self.cuts:
-            t: dict[bytes, list[int]] = {}
-            for i, row in enumerate(bits[:, cut]):
-                t.setdefault(row.tobytes(), []).append(i)
-            self.tables.append(t)
+        # a radius as wide as the blocks asks for finer ones
+        count = min(bits.shape[1], max(16, blocks, radius + 1))
+        self.cuts = np.array_split(np.arange(bits.shape[1]), count)
+        self.least = count - radius
+        values = self._values(bits)
+        self.order = [np.argsort(v, kind="stable").astype(np.int32) for v in values]
+        self.ends = [np.searchsorted(v, np.arange((1 << len(cut)) + 1), sorter=o) for v, o, cut in zip(values, self.order, self.cuts, strict=True)]
+
+    def _values(self, bits: np.ndarray) -> list[np.ndarray]:
+        # blocks have 8 bits at most
+        return [(bits[:, cut] << np.arange(len(cut), dtype=np.uint8)).sum(1, dtype=np.uint8) for cut in self.cuts]
+
+    def candidates(self, prints: np.ndarray) -> Iterator[np.ndarray]:
+        """For every query the entries that agree on enough blocks."""
+        values = self._values(np.unpackbits(prints.view(np.uint8), axis=1))
+        for q in range(len(prints)):
+            if self.least <= 0:
+                yield np.arange(len(self.prints))
+                continue
+            agree = [o[e[v[q]] : e[v[q] + 1]] for o, e, v in zip(self.order, self.ends, values, strict=True)]
+            yield np.flatnonzero(np.bincount(np.concatenate(agree), minlength=len(self.prints)) >= self.least)
 
     def search(self, prints: np.ndarray) -> list[tuple[int, int]]:
         """All (query, entry) pairs within the radius."""
-        bits, out = np.unpackbits(prints.view(np.uint8), axis=1), []
-        for q, row in enumerate(bits):
-            near = set()
-            for cut, t in zip(self.cuts, self.tables, strict=True):
-                near.update(t.get(row[cut].tobytes(), ()))
-                if len(near) == len(self.prints):
-                    break
-            if near:
-                e = np.array(sorted(near))
-                d = np.bitwise_count(self.prints[e] ^ prints[q]).sum(1)
-                out += [(q, int(i)) for i in e[d <= self.radius]]
+        out = []
+        for q, e in enumerate(self.candidates(prints)):
+            d = np.bitwise_count(self.prints[e] ^ prints[q]).sum(1)
+            out += [(q, int(i)) for i in e[d <= self.radius]]
         return out
 
 
@@ -144,7 +160,7 @@ class Benchmark:
         self.by_length = {}
         for n, found in sorted(by.items()):
             prints = np.concatenate([fingerprints(signs(s).sum(0, keepdims=True)) for _, s in found])
-            self.by_length[n] = ([i for i, _ in found], [s for _, s in found], BlockIndex(prints, p.radius))
+            self.by_length[n] = ([i for i, _ in found], [s for _, s in found], BlockIndex(prints, p.radius, p.index_blocks))
         self.clipped = {n: ShingleIndex(own) for n, (_, own, _) in self.by_length.items() if n > p.words}
         self.sizes = sorted({min(p.words, n) for n in by})
         self.known = {k: np.unique(np.concatenate([s for n, (_, ss, _) in self.by_length.items() if min(p.words, n) == k for s in ss])) for k in self.sizes}
@@ -221,42 +237,69 @@ class Benchmark:
                         yield ids[e], sim, at, n
 
 
-def _blocks(benchmark: DataFrame, p: DecontaminationParams) -> Iterator[list[tuple[int, str]]]:
-    """Items in blocks of a bounded size; repeated items count once, and texts of one item_id stay in one block."""
+def _blocks(benchmark: DataFrame, p: DecontaminationParams) -> Iterator[tuple[list[tuple[int, str]], bool]]:
+    """Items in blocks of a bounded number and bounded bytes (a longer text comes alone), and whether the block goes on with the last one's item.
+
+    Repeated items count once.
+    """
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text")).where("text is not null").distinct().orderBy("item_id", "text")
     block: list[tuple[int, str]] = []
+    size, goes_on = 0, False
     for r in items.toLocalIterator():
-        if len(block) >= p.block_items and r.item_id != block[-1][0]:
-            yield block
-            block = []
+        more = len(r.text.encode("utf-8", "surrogatepass"))
+        if block and (len(block) >= p.block_items or size + more > p.block_bytes):
+            yield block, goes_on
+            goes_on = r.item_id == block[-1][0]
+            block, size = [], 0
         block.append((r.item_id, r.text))
+        size += more
     if block:
-        yield block
+        yield block, goes_on
+
+
+def _best_of_blocks(hits: DataFrame) -> DataFrame:
+    """One row a document row and item where an item's texts lie in several blocks.
+
+    A document row has no key, but rows of one doc_id and text match alike in every block: they are counted by block, and as many
+    are left of the best window.
+    """
+    key = ["doc_id", "digest", "item_id"]
+    each = F.struct((-F.col("similarity")).alias("worse"), "first_word", "n_words", "similarity")
+    by_block = hits.groupBy(*key, "block").agg(F.min(each).alias("best"), F.count(F.lit(1)).alias("rows"))
+    best = by_block.groupBy(*key).agg(F.min("best").alias("best"), F.max("rows").alias("rows"))
+    rows = best.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "rows")))
+    return rows.select("doc_id", "item_id", "best.similarity", "best.first_word", "best.n_words")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, p: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """A row for every document and item whose passage it holds, with the best window; other documents have none."""
-    docs, spark, out = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), docs.sparkSession, None
-    for block in _blocks(benchmark, p):
-        shared = spark.sparkContext.broadcast(block)
+    docs, spark, out, split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), docs.sparkSession, None, False
+    for nr, (block, goes_on) in enumerate(_blocks(benchmark, p)):
+        shared, split = spark.sparkContext.broadcast(block), split or goes_on
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             known = Benchmark(shared.value, p)
             for batch in slices(batches):
-                rows = [(d, *m) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) if t for m in known.matches(t)]
-                cols = zip(*rows, strict=True) if rows else [()] * 5
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in HITS.split(", ")])
-
-        part = docs.mapInArrow(run, HITS)
+                rows = []
+                for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+                    found = known.matches(t) if t else []
+                    digest = xxhash.xxh3_128_hexdigest(t.encode("utf-8", "surrogatepass")) if found else ""
+                    rows += [(d, *m, digest) for m in found]
+                cols = zip(*rows, strict=True) if rows else [()] * 6
+                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], [x.split()[0] for x in FOUND.split(", ")])
+
+        part = docs.mapInArrow(run, FOUND).withColumn("block", F.lit(nr))
         out = part if out is None else out.unionAll(part)
-    return spark.createDataFrame([], HITS) if out is None else out
+    if out is None:
+        return spark.createDataFrame([], HITS)
+    return _best_of_blocks(out) if split else out.drop("digest", "block")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, p: DecontaminationParams = DecontaminationParams()) -> DataFrame:
     """The rows of ``docs`` that hold no item's passage, with all their columns."""
     schema, spark = docs.schema, docs.sparkSession
-    for i, block in enumerate(_blocks(benchmark, p)):
+    for i, (block, _) in enumerate(_blocks(benchmark, p)):
         shared = spark.sparkContext.broadcast(block)
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
