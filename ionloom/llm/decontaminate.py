@@ -103,32 +103,43 @@ class BlockIndex:
         bits = np.unpackbits(prints.view(np.uint8), axis=1)
         # a radius as wide as the blocks asks for finer ones
         count = min(bits.shape[1], max(16, blocks, radius + 1))
-        self.cuts = np.array_split(np.arange(bits.shape[1]), count)
-        self.least = count - radius
-        values = self._values(bits)
-        self.order = [np.argsort(v, kind="stable").astype(np.int32) for v in values]
-        self.ends = [np.searchsorted(v, np.arange((1 << len(cut)) + 1), sorter=o) for v, o, cut in zip(values, self.order, self.cuts, strict=True)]
-
-    def _values(self, bits: np.ndarray) -> list[np.ndarray]:
-        # blocks have 8 bits at most
-        return [(bits[:, cut] << np.arange(len(cut), dtype=np.uint8)).sum(1, dtype=np.uint8) for cut in self.cuts]
-
-    def candidates(self, prints: np.ndarray) -> Iterator[np.ndarray]:
-        """For every query the entries that agree on enough blocks."""
-        values = self._values(np.unpackbits(prints.view(np.uint8), axis=1))
-        for q in range(len(prints)):
+        cuts = np.array_split(np.arange(bits.shape[1]), count)
+        self.first = np.array([cut[0] for cut in cuts])
+        self.shift = np.concatenate([np.arange(len(cut), dtype=np.uint8) for cut in cuts])  # blocks have 8 bits at most
+        self.least, self.width = count - radius, 1 << max(map(len, cuts))
+        values = self._values(prints)
+        # postings of all blocks and values in one array, and where each begins
+        order = np.argsort(values, axis=0, kind="stable")
+        self.entries = order.T.ravel().astype(np.int32)
+        ends = [np.searchsorted(v[o], np.arange(self.width + 1)) + i * len(prints) for i, (v, o) in enumerate(zip(values.T, order.T, strict=True))]
+        self.begin = np.stack(ends)
+
+    def _values(self, prints: np.ndarray) -> np.ndarray:
+        bits = np.unpackbits(prints.view(np.uint8), axis=1)
+        return np.add.reduceat(bits << self.shift, self.first, axis=1, dtype=np.uint8)
+
+    def candidates(self, prints: np.ndarray, room: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pairs (queries, entries) that agree on enough blocks, for some queries at a time: ``room`` bounds what their postings take."""
+        n, values, block = len(self.prints), self._values(prints), np.arange(len(self.first))
+        step = max(1, room // (n * len(block)))
+        for a in range(0, len(prints), step):
+            v = values[a : a + step].astype(np.intp)
             if self.least <= 0:
-                yield np.arange(len(self.prints))
-                continue
-            agree = [o[e[v[q]] : e[v[q] + 1]] for o, e, v in zip(self.order, self.ends, values, strict=True)]
-            yield np.flatnonzero(np.bincount(np.concatenate(agree), minlength=len(self.prints)) >= self.least)
+                agree = np.ones(len(v) * n, bool)
+            else:
+                at, size = self.begin[block, v], self.begin[block, v + 1] - self.begin[block, v]
+                per_query, size = size.sum(1), size.ravel()
+                place = np.arange(size.sum()) + np.repeat(at.ravel() - np.r_[0, np.cumsum(size)[:-1]], size)
+                agree = np.bincount(self.entries[place] + np.repeat(np.arange(len(v)) * n, per_query), minlength=len(v) * n) >= self.least
+            q, e = np.divmod(np.flatnonzero(agree), n)
+            yield q + a, e
 
     def search(self, prints: np.ndarray) -> list[tuple[int, int]]:
         """All (query, entry) pairs within the radius."""
         out = []
-        for q, e in enumerate(self.candidates(prints)):
-            d = np.bitwise_count(self.prints[e] ^ prints[q]).sum(1)
-            out += [(q, int(i)) for i in e[d <= self.radius]]
+        for q, e in self.candidates(prints):
+            near = np.bitwise_count(self.prints[e] ^ prints[q]).sum(1) <= self.radius
+            out += zip(q[near].tolist(), e[near].tolist(), strict=True)
         return out
 
 
