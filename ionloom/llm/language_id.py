@@ -11,7 +11,7 @@ in any language (foreign passages inside documents stay out that way).
 
 Bounds: fitted on at most ``max_docs`` documents a language, picked in one pass by their ids, before texts move; a language keeps at most 1 / min_share n-grams, and the
 filter has ``positions`` entries of 1, 2, 4 or 8 bytes (up to 64 languages, else ValueError).  Every text is scored over its
-whole length, one Arrow batch at a time, without a shuffle.
+whole length, one Arrow batch at a time and a million n-grams of a text at a time, without a shuffle.
 
 Edge cases: a null text, or one without a letter, gives ``und`` and score 0; ties go to the language first in order; if no
 n-gram is known, or nothing could be learned, the first language or ``und`` with score 0.  Rows with null lang or null
@@ -56,31 +56,42 @@ class LanguageModel:
     params: LanguageParams
 
 
+def gram_blocks(text: str, n: int, size: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The text's n-grams of bytes, packed into 64-bit values, ``size`` at a time."""
+    kept = _KEEP[np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8)]
+    for a in range(0, len(kept) - n + 1, size):
+        b = kept[a : a + size + n - 1].astype(np.uint64)
+        g = b[: len(b) - n + 1].copy()
+        for i in range(1, n):
+            g <<= np.uint64(8)
+            g |= b[i : len(b) - n + 1 + i]
+        yield g
+
+
 def grams(text: str, n: int) -> np.ndarray:
-    """The text's n-grams of bytes, packed into 64-bit values."""
-    b = _KEEP[np.frombuffer(f" {text.lower()} ".encode("utf-8", "surrogatepass"), np.uint8)].astype(np.uint64)
-    if len(b) < n:
-        return np.zeros(0, np.uint64)
-    g = b[: len(b) - n + 1].copy()
-    for i in range(1, n):
-        g <<= np.uint64(8)
-        g |= b[i : len(b) - n + 1 + i]
-    return g
+    """All n-grams of the text."""
+    return np.concatenate([np.zeros(0, np.uint64), *gram_blocks(text, n)])
 
 
 def slots(g: np.ndarray, log2: int) -> list[np.ndarray]:
     return [((g * np.uint64(m)) >> np.uint64(64 - log2)).astype(np.int64) for m in _MIX]
 
 
-def _count_batches(n: int):
+def _count_batches(n: int, most: int = 1 << 20):
+    def counted(lang: str, found: list[np.ndarray]) -> pa.RecordBatch:
+        g, c = np.unique(np.concatenate(found), return_counts=True)
+        return pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "g", "c"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             by: dict[str, list] = {}
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                by.setdefault(lang, []).append(grams(text, n))
+                for g in gram_blocks(text, n):
+                    by.setdefault(lang, []).append(g)
+                    if sum(map(len, by[lang])) >= most and len(g) == most:  # within a very long text
+                        yield counted(lang, by.pop(lang))
             for lang, found in by.items():
-                g, c = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(g), pa.string()), pa.array(g.view(np.int64)), pa.array(c.astype(np.int64))], ["lang", "g", "c"])
+                yield counted(lang, found)
 
     return run
 
@@ -117,18 +128,21 @@ def predictor(model: LanguageModel) -> callable:
     masks = np.frombuffer(model.masks, f"u{model.width}")
     rates, one = np.array(model.rates), masks.dtype.type(1)
 
+    def counts(found: np.ndarray) -> np.ndarray:
+        """How many of the masks have each language."""
+        if model.width == 1:
+            by = np.bincount(found, minlength=256)
+            return np.array([by[(np.arange(256) >> i) & 1 == 1].sum() for i in range(len(langs))], float)
+        return np.array([int(((found >> masks.dtype.type(i)) & one).sum()) for i in range(len(langs))], float)
+
     def of(text: str) -> tuple[str, float]:
         if not text or not _LETTER.search(text):
             return "und", 0.0
-        g = grams(text, p.n)
-        a, b, c = slots(g, p.positions_log2)
-        found = masks[a] & masks[b] & masks[c]
-        if model.width == 1:
-            by = np.bincount(found, minlength=256)
-            hits = np.array([by[(np.arange(256) >> i) & 1 == 1].sum() for i in range(len(langs))], float)
-        else:
-            hits = np.array([int(((found >> masks.dtype.type(i)) & one).sum()) for i in range(len(langs))], float)
-        fixed = np.maximum((hits - len(g) * rates) / (1 - rates), 0)
+        hits, n = np.zeros(len(langs)), 0
+        for g in gram_blocks(text, p.n):
+            a, b, c = slots(g, p.positions_log2)
+            hits, n = hits + counts(masks[a] & masks[b] & masks[c]), n + len(g)
+        fixed = np.maximum((hits - n * rates) / (1 - rates), 0)
         k = int(fixed.argmax())
         return langs[k], float(fixed[k] / fixed.sum()) if fixed.sum() > 0 else 0.0
 
