@@ -19,7 +19,7 @@ BITS = WORDS * 64
 #: Bits that a key sets, from slices of one hash.
 HASHES = 5
 BITS_PER_KEY = 12
-#: Filters up to this size go to all tasks (5.6 million keys a 8 MB); beyond it the exact join does all the work.
+#: Filters up to this size (some 45 million keys) go to all tasks; beyond it the exact join does all the work.
 MAX_BYTES = 64 << 20
 
 
