@@ -399,19 +399,20 @@ def _grouped(docs: DataFrame, p: JoinParams) -> DataFrame:
     comps = written(components(links), "join-components")
     state = live.select("cid", "n").join(comps, F.col("cid") == F.col("node"), "left").select("cid", "n", F.coalesce("root", "cid").alias("comp"))
     named = written(near.select("k", "cid").join(state, "cid"), "join-named")
-    discard(near, comps)
+    discard(near)
     dealt = _dealt(named, p).join(live.select("cid", "p").hint("merge"), "cid").repartition("k", "u", "v").sortWithinPartitions("k", "u", "v")
     marked = written(dealt.mapInArrow(_tree_marks(p), MARKED).dropDuplicates(["unit", "cid"]), "join-marked")
     discard(named, live)
-    left = marked.join(texts(marked.select("cid").distinct()), "cid").repartition("unit").sortWithinPartitions("unit")
+    left = marked.join(rows.select(F.col("rid").alias("cid"), "z").hint("merge"), "cid").repartition("unit").sortWithinPartitions("unit")
     more = written(left.mapInArrow(_merging_links(p), "a long, b long").distinct(), "join-more")
     discard(marked)
-    comps = components(links.unionAll(more))
+    # the components so far are stars already, only new links are contracted
+    all_comps = components(comps.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(more))
 
-    named = classes.join(comps, F.col("cid") == F.col("node"), "left").select("digest", "one", F.coalesce("root", "cid").alias("comp"))
+    named = classes.join(all_comps, F.col("cid") == F.col("node"), "left").select("digest", "one", F.coalesce("root", "cid").alias("comp"))
     least = named.groupBy("comp").agg(F.min("one").alias("component_id"))
     named = written(named.join(least, "comp").select("digest", "comp", "component_id"), "join-named")
-    discard(links, more, classes)
+    discard(links, comps, more, classes)
     return rows.select("doc_id", "key", "n", "digest").join(named, "digest", "left")
 
 

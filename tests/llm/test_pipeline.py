@@ -42,3 +42,19 @@ def test_stages(spark):
     ran = corpus_pipeline.run(spark, DIR)
     key = lambda df: sorted((r.doc_id, r.doc_tokens) for r in df.select("doc_id", "doc_tokens").distinct().collect())
     assert key(ran) == key(last)
+
+
+def test_edge_rows(spark, docs, rows, tmp_path):
+    """Nulls, empty and long texts, repeated ids and rows, clashing columns; then an empty table."""
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DIR}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    held = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    toxic = {r.doc_id for r in held.select("doc_id").collect()} - {r.doc_id for r in corpus_pipeline.drop_toxic(spark, held, str(tmp_path)).select("doc_id").collect()}
+    whole = [r for r in rows if r[0] not in toxic]
+    first = {i for i, _, c in brute_join([r[:2] for r in whole if r[0] is not None], 5, 80, 100) if i == c}
+    found = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").distinct().collect()}
+    # the row without an id that equals another goes, the other stays
+    assert found == first | {None}
+    docs.limit(0).write.mode("overwrite").parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
