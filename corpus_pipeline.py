@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ionloom.llm import decontaminate, ngram_join, packing, suffix_dedup, toxicity
-from ionloom.llm.common import table, written
+from ionloom.llm.common import discard, table, written
 
 NEAR = ngram_join.JoinParams(words=5, num=80, den=100)
 
@@ -46,7 +46,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), ()
     for name, stage in STAGES[:-1]:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        discard(*before)
+        before = (docs,)
     return STAGES[-1][1](spark, docs, sf_dir)
