@@ -213,7 +213,7 @@ def fdr_global(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT scan, line, run, rank, round(decoys / rank, 6) AS fdr FROM ({_fdr_sql('PARTITION BY run')})")
 def fdr_per_run(spark: SparkSession, d: str) -> DataFrame:
-    return fdr.fdr_by(_marked(spark, d), ["run"], "xcorr", V.PSM_TIES).select("scan", "line", "run", "rank", F.round("fdr", 6).alias("fdr"))
+    return fdr.fdr_ranged(_marked(spark, d), ["run"], "xcorr", V.PSM_TIES, written).select("scan", "line", "run", "rank", F.round("fdr", 6).alias("fdr"))
 
 
 @query(f"SELECT scan, line, decoys FROM ({_fdr_sql()})")
