@@ -41,6 +41,12 @@ def written(df: DataFrame, name: str = "step") -> DataFrame:
     return out
 
 
+def dealt(df: DataFrame, rows_a_task: int, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over as many tasks as its rows ask for, and over all cores at least: a small file would be one task, and a fixed number of tasks would grow with the table."""
+    n = max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // rows_a_task))
+    return df.repartition(n, *keys)
+
+
 def discard(*tables: DataFrame) -> None:
     """Deletes tables of ``written`` that nothing reads any more."""
     for t in tables:
