@@ -619,14 +619,16 @@ def variable_window_counts(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT peptide_id AS scan, n AS targets, n AS decoys, 0 AS missing FROM (SELECT a.peptide_id, count(*) AS n FROM ({V.LIBRARY}) a JOIN ({V.LIBRARY}) b ON b.library_mass BETWEEN a.library_mass - a.library_mass * {PPM} // 1000000 AND a.library_mass + a.library_mass * {PPM} // 1000000 GROUP BY a.peptide_id)")
 def decoy_fillup(spark: SparkSession, d: str) -> DataFrame:
-    """A search space around every library mass, with as many decoys as targets; none may be missing."""
-    rows = P.with_bounds(V.library(spark, d).select(F.col("peptide_id").alias("scan"), F.col("library_mass").alias("mass_int")), "mass_int", PPM, PPM)
+    """A search space around every library mass, with as many decoys as targets; none may be missing.  Peptides of one mass share theirs."""
+    rows = P.with_bounds(V.library(spark, d).select(F.col("library_mass").alias("scan"), F.col("library_mass").alias("mass_int")).distinct(), "mass_int", PPM, PPM)
     library = V.library(spark, d).select(F.col("peptide").alias("sequence"), F.col("library_mass").alias("mass"))
     p = SearchParams(lower_mass_tolerance_ppm=PPM, upper_mass_tolerance_ppm=PPM, decoys_per_peptide=1)
     space = search_space(rows, library, p, MAX_MASS)
     missing = space.short.groupBy("scan").agg(F.sum("missing").alias("missing"))
     counts = space.candidates.groupBy("scan").agg(F.count_if("is_target").alias("targets"), F.count_if(~F.col("is_target")).alias("decoys"))
-    return counts.join(missing, "scan", "left").select("scan", "targets", "decoys", F.coalesce("missing", F.lit(0)).cast("int").alias("missing"))
+    counts = counts.join(missing, "scan", "left").withColumn("missing", F.coalesce("missing", F.lit(0))).withColumnRenamed("scan", "library_mass")
+    peptides = V.library(spark, d).select(F.col("peptide_id").alias("scan"), "library_mass").join(counts, "library_mass")
+    return peptides.groupBy("scan").agg(*(F.sum(c).cast(kind).alias(c) for c, kind in (("targets", "long"), ("decoys", "long"), ("missing", "int"))))
 
 
 # progress, metrics, errors

@@ -1,10 +1,44 @@
 """Steps whose cost is to grow no faster than their tables."""
 
+import glob
+import os
 import random
 
+import duckdb
+import pytest
 from pyspark.sql import functions as F
 
+from ionloom.operators import candidates as C
 from ionloom.operators import decoys
+from ionloom.plans import catalog
+from tests.test_catalog import DIR, rows
+
+COPIES = 3
+
+
+@pytest.fixture(scope="module")
+def copies(spark, tmp_path_factory):
+    """Tables whose parts and events come ``COPIES`` times under keys of their own, and one event twice under one key."""
+    out = str(tmp_path_factory.mktemp("copies"))
+    for f in glob.glob(f"{DIR}/*.parquet"):
+        os.symlink(f, f"{out}/{os.path.basename(f)}") if os.path.basename(f)[:-8] not in ("part", "events") else None
+    for name, key in (("part", "p_partkey"), ("events", "event_id")):
+        t = spark.read.parquet(f"{DIR}/{name}.parquet")
+        more = t.crossJoin(spark.range(COPIES).withColumnRenamed("id", "copy")).withColumn(key, F.col(key) + 100_000 * F.col("copy")).drop("copy")
+        more = more.unionByName(t.where("value between 205 and 260 and user_id % 5 = 2").withColumn("value", F.col("value") + 0.4)) if name == "events" else more
+        more.coalesce(1).write.parquet(f"{out}/{name}.parquet")
+    return out
+
+
+@pytest.mark.parametrize("name", ["variable_window_counts", "candidate_limit", "search_space_fasta", "decoy_fillup", "xcorr_score"])
+def test_copies_equal_sql(spark, copies, name):
+    c = duckdb.connect()
+    for f in glob.glob(f"{copies}/*.parquet"):
+        c.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f + '/*.parquet' if os.path.isdir(f) else f}'")
+    want = c.execute(catalog.ORACLES[name])
+    columns = [x[0] for x in want.description]
+    df = catalog.QUERIES[name](spark, copies)
+    assert rows(df.columns, [tuple(r) for r in df.collect()]) == rows(columns, want.fetchall())
 
 
 def test_decoys_of_one_small_file_use_all_cores(spark):
@@ -17,3 +51,21 @@ def test_decoys_of_one_small_file_use_all_cores(spark):
 def test_draws_of_decoys_stay():
     w = 475_000
     assert [decoys.decoy(950_000_000, 950_000_000 - w, 950_000_000 + w, random.Random(i)) for i in range(3)] == ["SCVPCACIR", "GWSCKGWK", "IYKLANDD"]
+
+
+@pytest.mark.parametrize("name", ["variable_window_counts", "candidate_limit", "search_space_fasta", "decoy_fillup", "xcorr_score"])
+def test_pairs_of_windows_and_masses_grow_with_the_tables(spark, copies, name, monkeypatch):
+    join, met = C.mass_window_join, []
+
+    def counted(*args, **named):
+        found = join(*args, **named)
+        met.append(found.count())
+        return found
+
+    monkeypatch.setattr(C, "mass_window_join", counted)
+    totals = []
+    for d in (DIR, copies):
+        met.clear()
+        catalog.QUERIES[name](spark, d)
+        totals.append(sum(met))
+    assert 0 < totals[1] < 1.8 * COPIES * totals[0], totals  # a row for each pair of copies would be COPIES ** 2
