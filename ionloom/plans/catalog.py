@@ -610,11 +610,14 @@ def variable_ions(spark: SparkSession, d: str) -> DataFrame:
     f"SELECT p.scan, count(*) AS forms, min(f.mass) AS least, max(f.mass) AS most, min(form) AS first_form FROM ({_BOUNDS}) p JOIN forms f ON f.mass BETWEEN lo AND hi GROUP BY p.scan"
 )
 def variable_window_counts(spark: SparkSession, d: str) -> DataFrame:
-    """Forms of library peptides in every precursor's window, found by moved windows."""
-    windows = variable.shifted_windows(_bounded(spark, d).select("scan", "mass_int", "lo", "hi"), VARIABLE, MOST)
-    found = variable.forms(C.mass_window_join(windows, V.library(spark, d), WIDTH), "peptide", VARIABLE, MOST)
-    mass = F.col("library_mass") + F.col("delta")
-    return found.groupBy("scan").agg(F.count(F.lit(1)).alias("forms"), F.min(mass).alias("least"), F.max(mass).alias("most"), F.min("form").alias("first_form"))
+    """Forms of library peptides in every precursor's window, counted by mass first; equal windows are looked up once."""
+    peptides = V.library(spark, d).groupBy("peptide", "library_mass").agg(F.count(F.lit(1)).alias("n"))
+    kinds = _forms(peptides.select(F.col("peptide").alias("sequence")).distinct()).groupBy(F.col("sequence").alias("peptide"), "delta").agg(F.count(F.lit(1)).alias("kinds"), F.min("form").alias("first_form"))
+    by_mass = peptides.join(kinds, "peptide").groupBy((F.col("library_mass") + F.col("delta")).alias("mass")).agg(F.sum(F.col("n") * F.col("kinds")).alias("forms"), F.min("first_form").alias("first_form"))
+    scans = _bounded(spark, d).select("scan", "lo", "hi")
+    met = C.mass_window_join(scans.where("lo <= hi").select("lo", "hi").distinct(), by_mass, WIDTH, "mass")
+    totals = lambda least, most: (F.sum("forms").alias("forms"), F.min(least).alias("least"), F.max(most).alias("most"), F.min("first_form").alias("first_form"))
+    return scans.join(met.groupBy("lo", "hi").agg(*totals("mass", "mass")), ["lo", "hi"]).groupBy("scan").agg(*totals("least", "most"))
 
 
 @query(f"SELECT peptide_id AS scan, n AS targets, n AS decoys, 0 AS missing FROM (SELECT a.peptide_id, count(*) AS n FROM ({V.LIBRARY}) a JOIN ({V.LIBRARY}) b ON b.library_mass BETWEEN a.library_mass - a.library_mass * {PPM} // 1000000 AND a.library_mass + a.library_mass * {PPM} // 1000000 GROUP BY a.peptide_id)")
