@@ -23,6 +23,34 @@ def mass_window_join(precursors: DataFrame, library: DataFrame, width: int, mass
     return left.join(right, "mass_bin").where((F.col(mass) >= F.col("lo")) & (F.col(mass) <= F.col("hi"))).drop("mass_bin")
 
 
+def with_ends(precursors: DataFrame, library: DataFrame, width: int, mass: str = "library_mass") -> DataFrame:
+    """Precursors with ``least`` and ``most``, the lowest and highest library mass in their window; those of empty windows go.
+
+    Windows of equal ends hold the same library rows, so that a step over candidates is done once for each pair of ends (``spaces``), not once a
+    scan.  Only distinct windows and distinct masses meet here.
+    """
+    windows = precursors.where("lo <= hi").select("lo", "hi").distinct()
+    met = mass_window_join(windows, library.select(mass).distinct(), width, mass)
+    return precursors.join(met.groupBy("lo", "hi").agg(F.min(mass).alias("least"), F.max(mass).alias("most")), ["lo", "hi"])
+
+
+def spaces(ends: DataFrame, library: DataFrame, width: int, mass: str = "library_mass") -> DataFrame:
+    """The library rows of each pair of ``least`` and ``most``, which are those of all its windows."""
+    pairs = ends.select("least", "most").distinct().withColumns({"lo": F.col("least"), "hi": F.col("most")})
+    return mass_window_join(pairs, library, width, mass).drop("lo", "hi")
+
+
+def first_of_windows(precursors: DataFrame, library: DataFrame, width: int, keys: list[str], order: list[str], limit: int, mass: str = "library_mass") -> DataFrame:
+    """At most ``limit`` library rows of each scan by mass, then ``order``.
+
+    Of one mass only the first ``limit`` rows can be among them, so the others go before windows are looked up; equal windows are looked up once.
+    """
+    first = limited(library.where(F.col(mass).isNotNull()), [mass], order, limit)
+    windows = precursors.where("lo <= hi").select("lo", "hi").distinct()
+    found = limited(mass_window_join(windows, first, width, mass), ["lo", "hi"], [mass, *order], limit)
+    return limited(precursors.join(found, ["lo", "hi"]), keys, [mass, *order], limit)
+
+
 def known_targets(decoys: DataFrame, targets: DataFrame, key: str = "sequence") -> DataFrame:
     return decoys.join(targets.select(key), key, "left_semi")
 

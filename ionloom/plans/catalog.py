@@ -183,7 +183,8 @@ def decoy_topup(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT scan, peptide_id FROM (SELECT *, row_number() OVER (PARTITION BY scan ORDER BY library_mass, peptide_id) AS nr FROM ({_PAIRS})) WHERE nr <= 5")
 def candidate_limit(spark: SparkSession, d: str) -> DataFrame:
-    return C.limited(_pairs(spark, d), ["scan"], ["library_mass", "peptide_id"], 5).select("scan", "peptide_id")
+    scans = _bounded(spark, d).select("scan", "lo", "hi")
+    return C.first_of_windows(scans, V.library(spark, d), WIDTH, ["scan"], ["peptide_id"], 5).select("scan", "peptide_id")
 
 
 # false-discovery rates
