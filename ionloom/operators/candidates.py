@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ionloom.session import dealt
+
+#: Rows of one task of a top-up, which are sorted in memory.
+ROWS_A_TASK = 500_000
+
 
 def bin_width(max_mass: int, lower_ppm: int, upper_ppm: int) -> int:
     """A width no window up to ``max_mass`` exceeds, so that a window touches two bins at most."""
@@ -72,10 +77,10 @@ def needed_decoys(candidates: DataFrame, keys: list[str], per_peptide: int) -> D
 
 
 def top_up(cached: DataFrame, generated: DataFrame, needed: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """Cached decoys first, then generated ones, up to ``needed`` of each scan."""
-    rows = cached.withColumn("rank", F.lit(0)).unionByName(generated.withColumn("rank", F.lit(1)))
+    """Cached decoys first, then generated ones, up to ``needed`` of each scan; the number of tasks grows with the decoys, not a task's sorts."""
+    rows = dealt(cached.withColumn("rank", F.lit(0)).unionByName(generated.withColumn("rank", F.lit(1))), ROWS_A_TASK, *keys)
     w = Window.partitionBy(*keys).orderBy("rank", *order)
-    rows = rows.join(needed.select(*keys, "needed"), keys).withColumn("nr", F.row_number().over(w))
+    rows = rows.join(needed.where("needed > 0").select(*keys, "needed"), keys).withColumn("nr", F.row_number().over(w))
     return rows.where("nr <= needed").drop("nr", "needed")
 
 

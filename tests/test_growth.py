@@ -69,3 +69,12 @@ def test_pairs_of_windows_and_masses_grow_with_the_tables(spark, copies, name, m
         catalog.QUERIES[name](spark, d)
         totals.append(sum(met))
     assert 0 < totals[1] < 1.8 * COPIES * totals[0], totals  # a row for each pair of copies would be COPIES ** 2
+
+
+def test_tasks_of_a_top_up_grow_with_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(C, "ROWS_A_TASK", 100, raising=False)
+    rows = spark.range(2000).select((F.col("id") % 500).alias("scan"), F.col("id").alias("decoy"))
+    needed = spark.range(500).select(F.col("id").alias("scan"), (F.col("id") % 3).alias("needed"))
+    got = C.top_up(rows.where("decoy % 2 = 0"), rows.where("decoy % 2 = 1"), needed.hint("merge"), ["scan"], ["decoy"])
+    assert got.count() == sum(i % 3 for i in range(500))
+    assert got.select(F.spark_partition_id()).distinct().count() > 10
