@@ -25,6 +25,8 @@ ORACLES: dict[str, str] = {}
 PPM = 500
 #: Largest integer mass of the library's windows (part prices stay below 2,100).
 MAX_MASS = 2_200 * SCALE
+#: Rows of the output that one task makes from far smaller inputs.
+ROWS_A_TASK = 2_000_000
 WIDTH = C.bin_width(MAX_MASS, PPM, PPM)
 BINS = XcorrParams(bin_size=1.0005, use_flanking_peaks=True, max_fragment_charge=1)
 
@@ -700,7 +702,19 @@ def stream_equals_batch(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT scan, peptide_id, is_target, nr, entry FROM (SELECT scan, peptide_id, true AS is_target, nr, '>mdb|T' || CAST(nr AS VARCHAR) || '|T' || CAST(nr AS VARCHAR) || chr(10) || peptide || chr(10) AS entry FROM (SELECT *, row_number() OVER (PARTITION BY scan ORDER BY peptide_id) AS nr FROM ({_PAIRS})))")
 def search_space_fasta(spark: SparkSession, d: str) -> DataFrame:
-    rows = _pairs(spark, d).select("scan", "peptide_id", "peptide", F.lit(True).alias("is_target"))
-    w = Window.partitionBy("scan").orderBy("peptide_id")
-    rows = rows.withColumn("nr", F.row_number().over(w))
-    return rows.select("scan", "peptide_id", "is_target", "nr", naming.fasta_entry(F.col("peptide"), F.col("nr"), True).alias("entry"))
+    """Entries are numbered once for each pair of window ends; only the output has a row for each scan and peptide."""
+    ends = ["least", "most"]
+    scans = C.with_ends(_bounded(spark, d).select("scan", "lo", "hi"), V.library(spark, d), WIDTH)
+    scans = written(scans.select("scan", *ends, F.count(F.lit(1)).over(Window.partitionBy("scan")).alias("windows")), "scans")
+    by_peptide = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("peptide_id"))
+    entry = naming.fasta_entry(F.col("peptide"), F.col("nr"), True)
+    numbered = C.spaces(scans, V.library(spark, d), WIDTH).select(*ends, "peptide_id", "peptide", by_peptide(*ends).alias("nr"))
+    numbered = written(numbered.withColumn("entry", entry), "entries")
+    # the inputs are small beside the output, so its rows decide over the tasks
+    sizes = [t.groupBy(*ends).agg(F.count(F.lit(1)).alias(n)) for t, n in ((scans, "a"), (numbered, "b"))]
+    total = sizes[0].join(sizes[1], ends).agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0
+    tasks = max(spark.sparkContext.defaultParallelism, -(-total // ROWS_A_TASK))
+    rows = scans.repartition(tasks, *ends).join(numbered.hint("merge"), ends)
+    # a scan with several windows is numbered over all of them
+    again = scans.where("windows > 1").join(numbered, ends).withColumn("nr", by_peptide("scan")).withColumn("entry", entry)
+    return rows.where("windows = 1").unionByName(again).select("scan", "peptide_id", F.lit(True).alias("is_target"), "nr", "entry")
