@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from ionloom.params import XcorrParams
 
 
+#: Ions of candidates that one task takes.
+IONS_A_TASK = 1_000_000
+
+
 def bin_of(mz: Column, p: XcorrParams) -> Column:
     return F.floor(mz / p.bin_size + 1 - p.bin_offset).cast("long")
 
@@ -30,23 +34,34 @@ def normalised(bins: DataFrame, p: XcorrParams, scan: str = "scan") -> DataFrame
     return bins.withColumn("part", part).withColumn("y", F.when(top > 0, F.col("height") * 50 / top).otherwise(0.0)).select(scan, "bin", "y")
 
 
-def corrected(heights: DataFrame, bins: DataFrame, p: XcorrParams, scan: str = "scan") -> DataFrame:
+def corrected(heights: DataFrame, bins: DataFrame, p: XcorrParams, scan: str = "scan", tasks: int | None = None) -> DataFrame:
     """y and y less the mean of the ``background`` bins on either side, at observed bins and at ``bins``.
 
     Empty bins count: they are added with height 0, so that they get their (negative) background.
     """
-    points = heights.select(scan, "bin", "y").unionByName(bins.select(scan, "bin", F.lit(0.0).alias("y"))).groupBy(scan, "bin").agg(F.max("y").alias("y"))
+    points = heights.select(scan, "bin", "y").unionByName(bins.select(scan, "bin", F.lit(0.0).alias("y")))
+    points = _over(points, tasks, scan).groupBy(scan, "bin").agg(F.max("y").alias("y"))
     near = Window.partitionBy(scan).orderBy("bin").rangeBetween(-p.background, p.background)
     return points.withColumn("fast", F.col("y") - (F.sum("y").over(near) - F.col("y")) / (2 * p.background))
 
 
-def scores(heights: DataFrame, ion_bins: DataFrame, p: XcorrParams, scan: str = "scan", peptide: str = "peptide") -> DataFrame:
-    """xcorr, ions_total and ions_matched of each (scan, peptide) in ``ion_bins`` (scan, peptide, bin)."""
+def _over(rows: DataFrame, tasks: int | None, *keys: str) -> DataFrame:
+    return rows if tasks is None else rows.repartition(tasks, *keys)
+
+
+def tasks_for(ion_bins: DataFrame) -> int:
+    """A number of tasks that grows with the ions, so that what one task sorts doesn't."""
+    return max(ion_bins.sparkSession.sparkContext.defaultParallelism, -(-ion_bins.count() // IONS_A_TASK))
+
+
+def scores(heights: DataFrame, ion_bins: DataFrame, p: XcorrParams, scan: str = "scan", peptide: str = "peptide", tasks: int | None = None) -> DataFrame:
+    """xcorr, ions_total and ions_matched of each (scan, peptide) in ``ion_bins`` (scan, peptide, bin), each shuffle over ``tasks`` if given."""
     around = (-1, 0, 1) if p.use_flanking_peaks else (0,)
-    wanted = ion_bins.select(scan, F.explode(F.array(*(F.col("bin") + k for k in around))).alias("bin")).distinct()
-    at = corrected(heights, wanted, p, scan)
+    known = ion_bins.select(scan, "bin") if tasks is None else _over(ion_bins.select(scan, "bin"), tasks, scan).distinct()
+    wanted = known.select(scan, F.explode(F.array(*(F.col("bin") + k for k in around))).alias("bin")).distinct()
+    at = corrected(heights, wanted, p, scan, tasks)
     if p.use_flanking_peaks:
         sides = F.sum("fast").over(Window.partitionBy(scan).orderBy("bin").rangeBetween(-1, 1)) - F.col("fast")
         at = at.withColumn("fast", F.col("fast") + 0.5 * sides)
-    hits = ion_bins.join(at, [scan, "bin"])
-    return hits.groupBy(scan, peptide).agg((F.sum("fast") * 0.005).alias("xcorr"), F.count(F.lit(1)).alias("ions_total"), F.count_if(F.col("y") > 0).alias("ions_matched"))
+    hits = _over(ion_bins, tasks, scan, "bin").join(at, [scan, "bin"])
+    return _over(hits, tasks, scan, peptide).groupBy(scan, peptide).agg((F.sum("fast") * 0.005).alias("xcorr"), F.count(F.lit(1)).alias("ions_total"), F.count_if(F.col("y") > 0).alias("ions_matched"))

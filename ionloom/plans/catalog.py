@@ -460,7 +460,9 @@ _FLANKED = f"SELECT scan, bin, y, fast + 0.5 * (sum(fast) OVER (PARTITION BY sca
 
 
 def _wanted(spark: SparkSession, d: str) -> DataFrame:
-    pairs = _pairs(spark, d).select(F.col("run").alias("scan"), "peptide").distinct()
+    library = V.library(spark, d).select("peptide", "library_mass").distinct()
+    runs = C.with_ends(_bounded(spark, d).select(F.col("run").alias("scan"), "lo", "hi"), library, WIDTH).select("scan", "least", "most").distinct()
+    pairs = runs.join(C.spaces(runs, library, WIDTH).select("least", "most", "peptide").distinct(), ["least", "most"]).select("scan", "peptide").distinct()
     peptides = V.library(spark, d).select(F.col("peptide").alias("key"), F.col("peptide").alias("sequence")).distinct()
     ions = fragments.ions(peptides, "key", BINS.ions, 1).select(F.col("key").alias("peptide"), xcorr.bin_of(F.col("mz"), BINS).alias("bin"))
     return pairs.join(ions, "peptide").select("scan", "peptide", "bin")
@@ -476,7 +478,8 @@ _XCORR = f"SELECT scan, peptide, round(sum(fast) * 0.005, 6) AS xcorr, count(*)
 
 @query(_XCORR)
 def xcorr_score(spark: SparkSession, d: str) -> DataFrame:
-    return xcorr.scores(_heights(spark, d), _wanted(spark, d), BINS).select("scan", "peptide", F.round("xcorr", 6).alias("xcorr"), "ions_total", "ions_matched")
+    wanted = written(_wanted(spark, d), "ions")
+    return xcorr.scores(_heights(spark, d), wanted, BINS, tasks=xcorr.tasks_for(wanted)).select("scan", "peptide", F.round("xcorr", 6).alias("xcorr"), "ions_total", "ions_matched")
 
 
 @query(_XCORR)

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ionloom.operators import candidates as C
-from ionloom.operators import decoys
+from ionloom.operators import decoys, xcorr
 from ionloom.plans import catalog
 from tests.test_catalog import DIR, rows
 
@@ -78,3 +78,9 @@ def test_tasks_of_a_top_up_grow_with_its_rows(spark, monkeypatch):
     got = C.top_up(rows.where("decoy % 2 = 0"), rows.where("decoy % 2 = 1"), needed.hint("merge"), ["scan"], ["decoy"])
     assert got.count() == sum(i % 3 for i in range(500))
     assert got.select(F.spark_partition_id()).distinct().count() > 10
+
+
+def test_tasks_of_scores_grow_with_the_ions(spark, copies, monkeypatch):
+    monkeypatch.setattr(xcorr, "IONS_A_TASK", 50, raising=False)
+    got = catalog.QUERIES["xcorr_score"](spark, copies)
+    assert got.select(F.spark_partition_id()).distinct().count() > 4  # the cores of the session
