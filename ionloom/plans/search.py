@@ -29,6 +29,8 @@ SCAN = ["uuid", "ms_run", "spectrum_id", "precursor_no"]
 #: Rounds of new decoys for scans that are still short, each with seeds of its own.
 DECOY_ROUNDS = 4
 UNIT = ["scan", "units"]
+#: New decoys that one task is asked for.
+DECOYS_A_TASK = 50_000
 
 
 #: What a search may set for itself, in a table with one row a search and version; nulls leave the run's value.
@@ -98,6 +100,9 @@ def _new_decoys(short: DataFrame, library: DataFrame, most: int, seed: int, mods
     residues = {c: _joined(a) for c, a in at.items()} or {c: F.lit("") for c in ("needs", "first", "last")}
     asked = F.col("missing") + F.ceil(F.col("missing") / 10) + 5
     wanted = short.select(*UNIT, "delta", F.xxhash64("scan", F.to_json("units"), F.lit(seed)).alias("seed"), "mass_int", "lo", "hi", "missing", asked.alias("asked"), *(e.alias(c) for c, e in residues.items()))
+    # few windows may ask for many decoys, so these decide over the tasks
+    total = short.agg(F.sum("missing")).first()[0] or 0
+    wanted = wanted.repartition(max(short.sparkSession.sparkContext.defaultParallelism, -(-total // DECOYS_A_TASK)), *UNIT)
     D.register(short.sparkSession, mods)
     made = short.sparkSession.sql("SELECT scan, units, delta, missing, nr, sequence FROM {wanted}, LATERAL decoys(seed, mass_int, lo, hi, CAST(asked AS INT), needs, first, last)", wanted=wanted)
     if layout is not None:  # read more than once behind the filter
