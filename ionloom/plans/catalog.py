@@ -27,6 +27,8 @@ PPM = 500
 MAX_MASS = 2_200 * SCALE
 #: Rows of the output that one task makes from far smaller inputs.
 ROWS_A_TASK = 2_000_000
+#: Scans whose rows of one FASTA entry come at once; the dictionary of a Parquet column has room for them.
+SCANS_A_BLOCK = 2048
 WIDTH = C.bin_width(MAX_MASS, PPM, PPM)
 BINS = XcorrParams(bin_size=1.0005, use_flanking_peaks=True, max_fragment_charge=1)
 
@@ -705,19 +707,35 @@ def stream_equals_batch(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"SELECT scan, peptide_id, is_target, nr, entry FROM (SELECT scan, peptide_id, true AS is_target, nr, '>mdb|T' || CAST(nr AS VARCHAR) || '|T' || CAST(nr AS VARCHAR) || chr(10) || peptide || chr(10) AS entry FROM (SELECT *, row_number() OVER (PARTITION BY scan ORDER BY peptide_id) AS nr FROM ({_PAIRS})))")
 def search_space_fasta(spark: SparkSession, d: str) -> DataFrame:
-    """Entries are numbered once for each pair of window ends; only the output has a row for each scan and peptide."""
-    ends = ["least", "most"]
-    scans = C.with_ends(_bounded(spark, d).select("scan", "lo", "hi"), V.library(spark, d), WIDTH)
-    scans = written(scans.select("scan", *ends, F.count(F.lit(1)).over(Window.partitionBy("scan")).alias("windows")), "scans")
+    """Entries are numbered once for each pair of window ends; only the output has a row for each scan and peptide.
+
+    It grows with the product of both, so its order decides what it takes on disk: an entry comes with many scans at once, whose rows Parquet stores as runs.
+    """
+    ends, block = ["least", "most"], ["least", "most", "n", "bucket", "part"]
+    scans = C.with_ends(_bounded(spark, d).select("scan", "lo", "hi"), V.library(spark, d), WIDTH).groupBy("scan", *ends).agg(F.count(F.lit(1)).alias("n"))
+    scans = written(scans.withColumn("windows", F.count(F.lit(1)).over(Window.partitionBy("scan"))), "scans")
     by_peptide = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy("peptide_id"))
     entry = naming.fasta_entry(F.col("peptide"), F.col("nr"), True)
-    numbered = C.spaces(scans, V.library(spark, d), WIDTH).select(*ends, "peptide_id", "peptide", by_peptide(*ends).alias("nr"))
-    numbered = written(numbered.withColumn("entry", entry), "entries")
-    # the inputs are small beside the output, so its rows decide over the tasks
-    sizes = [t.groupBy(*ends).agg(F.count(F.lit(1)).alias(n)) for t, n in ((scans, "a"), (numbered, "b"))]
-    total = sizes[0].join(sizes[1], ends).agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0
+    numbered = written(C.spaces(scans, V.library(spark, d), WIDTH).select(*ends, "peptide_id", "peptide", by_peptide(*ends).alias("nr")), "entries")
+    # blocks of some scans and some entries of one space; the inputs are small beside the output, so its rows decide over the tasks
+    once = scans.where("windows = 1").drop("windows")
+    sizes = once.groupBy(*ends, "n").agg(F.count(F.lit(1)).alias("scans")).join(numbered.groupBy(*ends).agg(F.count(F.lit(1)).alias("entries")), ends)
+    sizes = sizes.withColumn("buckets", F.ceil(F.col("scans") / SCANS_A_BLOCK)).withColumn("each", F.greatest(F.lit(1), F.floor(F.lit(ROWS_A_TASK // 2) / F.least("scans", F.lit(SCANS_A_BLOCK)))))
+    total = sizes.agg(F.sum(F.col("scans") * F.col("entries") * F.col("n"))).first()[0] or 0
     tasks = max(spark.sparkContext.defaultParallelism, -(-total // ROWS_A_TASK))
-    rows = scans.repartition(tasks, *ends).join(numbered.hint("merge"), ends)
+    upto = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    parts = F.ceil(F.col("entries") * F.col("n") / F.col("each"))
+    lists = once.join(sizes.select(*ends, "n", "buckets", parts.alias("parts")), [*ends, "n"]).withColumn("bucket", F.pmod(F.xxhash64("scan"), "buckets"))
+    lists = lists.groupBy(*ends, "n", "bucket", "parts").agg(F.sort_array(F.collect_list(F.struct("scan"))).alias("scans")).withColumn("part", upto(F.col("parts")))
+    # a scan with n equal windows has every peptide n times
+    entries = numbered.join(sizes.select(*ends, "n", "buckets", "each"), ends).withColumn("copy", upto(F.col("n"))).withColumn("nr", ((F.col("nr") - 1) * F.col("n") + F.col("copy") + 1).cast("int"))
+    entries = entries.withColumn("part", F.floor((F.col("nr") - 1) / F.col("each"))).withColumn("bucket", upto(F.col("buckets")))
+    rows = entries.join(lists.repartition(tasks, *block).hint("merge"), block).withColumn("entry", entry).select(F.explode("scans").alias("s"), "peptide_id", "nr", "entry")
+    columns = ("scan", "peptide_id", F.lit(True).alias("is_target"), "nr", "entry")
+    rows = rows.withColumn("scan", F.col("s.scan")).select(*columns)
     # a scan with several windows is numbered over all of them
-    again = scans.where("windows > 1").join(numbered, ends).withColumn("nr", by_peptide("scan")).withColumn("entry", entry)
-    return rows.where("windows = 1").unionByName(again).select("scan", "peptide_id", F.lit(True).alias("is_target"), "nr", "entry")
+    several = scans.where("windows > 1")
+    if several.isEmpty():
+        return rows
+    again = several.join(numbered.drop("nr"), ends).withColumn("copy", upto(F.col("n"))).withColumn("nr", by_peptide("scan")).withColumn("entry", entry)
+    return rows.unionByName(again.select(*columns))

@@ -84,3 +84,47 @@ def test_tasks_of_scores_grow_with_the_ions(spark, copies, monkeypatch):
     monkeypatch.setattr(xcorr, "IONS_A_TASK", 50, raising=False)
     got = catalog.QUERIES["xcorr_score"](spark, copies)
     assert got.select(F.spark_partition_id()).distinct().count() > 4  # the cores of the session
+
+
+def _like_sql(spark, d, name):
+    """The query's rows in their order, which are those of its SQL over tables of one or more files."""
+    c = duckdb.connect()
+    for f in glob.glob(f"{d}/*.parquet"):
+        c.execute(f"CREATE VIEW {os.path.basename(f)[:-8]} AS SELECT * FROM '{f + '/*.parquet' if os.path.isdir(f) else f}'")
+    want = c.execute(catalog.ORACLES[name])
+    columns = [x[0] for x in want.description]
+    df = catalog.QUERIES[name](spark, d)
+    got = df.collect()
+    assert rows(df.columns, [tuple(r) for r in got]) == rows(columns, want.fetchall())
+    return got
+
+
+def test_rows_of_an_entry_come_together(spark, copies):
+    got = _like_sql(spark, copies, "search_space_fasta")
+    runs = 1 + sum((a["peptide_id"], a["nr"]) != (b["peptide_id"], b["nr"]) for a, b in zip(got, got[1:]))
+    assert runs < 0.6 * len(got), (runs, len(got))  # Parquet stores the columns of an entry as runs
+
+
+@pytest.fixture(scope="module")
+def repeated(spark, copies, tmp_path_factory):
+    """``copies`` whose events come twice, half of them under keys of their own and the last without one."""
+    out = str(tmp_path_factory.mktemp("repeated"))
+    for f in glob.glob(f"{copies}/*.parquet"):
+        os.symlink(f, f"{out}/{os.path.basename(f)}") if os.path.basename(f)[:-8] != "events" else None
+    t = spark.read.parquet(f"{copies}/events.parquet")
+    more = t.withColumn("event_id", F.when(F.col("event_id") % 2 == 0, F.col("event_id")).otherwise(F.col("event_id") + 1_000_000))
+    alone = t.where("value between 230 and 240 and user_id % 5 = 2").limit(1).withColumn("event_id", F.lit(None).cast("long"))
+    t.unionByName(more).unionByName(alone).coalesce(1).write.parquet(f"{out}/events.parquet")
+    return out
+
+
+def test_blocks_of_a_space_equal_sql(spark, repeated, monkeypatch):
+    monkeypatch.setattr(catalog, "SCANS_A_BLOCK", 2, raising=False)
+    monkeypatch.setattr(catalog, "ROWS_A_TASK", 40)
+    assert any(r["scan"] is None for r in _like_sql(spark, repeated, "search_space_fasta"))
+
+
+def test_repeated_rows_of_a_scan_share_their_entries(spark, repeated):
+    got = _like_sql(spark, repeated, "search_space_fasta")
+    runs = 1 + sum((a["peptide_id"], a["nr"]) != (b["peptide_id"], b["nr"]) for a, b in zip(got, got[1:]))
+    assert runs < 0.6 * len(got), (runs, len(got))
